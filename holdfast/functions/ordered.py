@@ -35,43 +35,82 @@ def _bucket_of(value: Column, borders: Column, buckets: int) -> Column:
     )
 
 
-def running_totals(
-    df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str]
-) -> DataFrame:
-    """One row per (keys, order value): each sum column, and ``cum_<sum>`` up to and including it."""
-    keys, sums = list(keys), list(sums)
+def _with_buckets(df: DataFrame, keys: Sequence[str], order: str) -> tuple[DataFrame, list[str]]:
+    """Add ``_bucket`` by the order column, and one non-null column standing for nullable keys."""
     buckets = bucket_count(df.sparkSession)
-    collapsed = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in sums])
+    position = F.col(order)
+    if dict(df.dtypes)[order] in ("timestamp_ntz", "date"):
+        position = position.cast("timestamp")
+    position = position.cast("double")
     percentages = [i / buckets for i in range(1, buckets)]
-    borders = collapsed.agg(
-        F.percentile_approx(order, percentages, max(1000, 4 * buckets)).alias("borders")
-    ).scalar()
-    placed = collapsed.withColumn("_bucket", _bucket_of(F.col(order), borders, buckets))
+    borders = df.agg(F.percentile_approx(position, percentages, max(1000, 4 * buckets))).scalar()
+    # a subquery cannot stand inside the lambda, so it passes through a column
+    placed = df.withColumn("_borders", borders)
+    placed = placed.withColumn("_bucket", _bucket_of(position, F.col("_borders"), buckets)).drop("_borders")
+    nullable = any(f.nullable for f in df.schema.fields if f.name in keys)
+    if not nullable:
+        return placed, list(keys)
+    # struct equality takes two nulls as equal, and keeps window and join on one partitioning
+    return placed.withColumn("_key", F.struct(*keys)), ["_key"]
+
+
+def _add_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed = offsets.withColumnsRenamed({k: f"_r{i}" for i, k in enumerate([*keys, "_bucket"])})
+    match = F.col("_bucket") == F.col(f"_r{len(keys)}")
+    for i, k in enumerate(keys):
+        match = match & (F.col(k) == F.col(f"_r{i}"))
+    return local.join(renamed, match, "left").drop(*[f"_r{i}" for i in range(len(keys) + 1)])
+
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
+def _earlier_buckets(keys: Sequence[str]):
+    # at most `buckets` rows per key
+    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_bucket")
+
+
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """All rows with ``cum_<sum>``: each sum over the key's rows up to the current one in order.
+
+    The first order column must cast to a number (numbers, dates and timestamps do).
+    """
+    placed, by = _with_buckets(df, keys, order[0])
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = placed.select("*", *[F.sum(c).over(inside).alias(f"cum_{c}") for c in sums])
-
-    # at most `buckets` rows per key from here on
-    per_bucket = placed.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
-    across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    across = across.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_bucket").alias("_b"),
-        *[F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"_off_{c}") for c in sums],
+    local = placed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
+    before = _earlier_buckets(by).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(*by, "_bucket")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .select(*by, "_bucket", *[F.sum(c).over(before).alias(f"_off_{c}") for c in sums])
     )
-    match = F.col("_bucket") == F.col("_b")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return local.join(offsets, match).select(
-        *keys,
-        order,
-        *sums,
-        *[(F.col(f"cum_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sums],
+    zero = {c: F.lit(0).cast(t) for c, t in placed.select(*[F.sum(c).alias(c) for c in sums]).dtypes}
+    return _add_offsets(local, offsets, by).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        *[
+            (F.coalesce(f"_in_{c}", zero[c]) + F.coalesce(f"_off_{c}", zero[c])).alias(f"cum_{c}")
+            for c in sums
+        ],
+    )
+
+
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """All rows with the value of the key's row just before, NULL on its first row."""
+    placed, by = _with_buckets(df, keys, order[0])
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
+    local = placed.select("*", F.lag(value).over(inside).alias("_lag"), F.row_number().over(inside).alias("_at"))
+    last = placed.groupBy(*by, "_bucket").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
+    offsets = last.select(*by, "_bucket", F.lag("_last").over(_earlier_buckets(by)).alias("_before"))
+    return _add_offsets(local, offsets, by).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.when(F.col("_at") > 1, F.col("_lag")).otherwise(F.col("_before")[value]).alias(name),
     )
 
 
+def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """One row per (keys, order value): each sum column, and ``cum_<sum>`` up to and including it."""
+    collapsed = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in sums])
+    return running_sums(collapsed, keys, [order], sums)
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]
 ) -> DataFrame:
@@ -83,13 +122,8 @@ def exact_quantiles(
     ranked = running_totals(counted, keys, "_v", ["_n"])
     totals = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     if keys:
-        right = totals.select(
-            *[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)], "_total"
-        )
-        match = F.lit(True)
-        for i, k in enumerate(keys):
-            match = match & F.col(k).eqNullSafe(F.col(f"_q{i}"))
-        ranked = ranked.join(right, match)
+        right = totals.select(F.struct(*keys).alias("_q"), "_total")
+        ranked = ranked.join(right, F.struct(*keys) == F.col("_q"))
     else:
         ranked = ranked.withColumn("_total", totals.scalar())
     picks = []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.functions import scalars as S
+from holdfast.functions.ordered import previous_value, running_sums
 from holdfast.operators.quality import col, string_columns
 from holdfast.operators.relate import first_row
 
@@ -319,3 +320,22 @@ def latest_date_gap(
     """Days between the latest ``start`` event and the latest ``end`` event of each key."""
     last = lambda value: F.max(F.when(F.col(kind) == value, F.col(date)))
     return events.groupBy(key).agg(S.days_between(last(end), last(start)).alias(name))
+
+
+def running_standing(
+    df: DataFrame, key: str, order: Sequence[str], value: str, below: dict[str, float], default: str, digits: int = 4
+) -> DataFrame:
+    """Cumulative mean of the value per key in order, and the first label whose limit it is below."""
+    ones = df.withColumn("_one", F.col(value).isNotNull().cast("bigint"))
+    sums = running_sums(ones, [key], order, [value, "_one"])
+    average = F.round(F.try_divide(F.col(f"cum_{value}"), F.col("cum__one")), digits)
+    label = F.lit(default)
+    for name, limit in reversed(below.items()):
+        label = F.when(F.col("average") < limit, name).otherwise(label)
+    return sums.withColumn("average", average).withColumn("standing", label).drop("_one", f"cum_{value}", "cum__one")
+
+
+def changed_from_previous(df: DataFrame, key: str, order: Sequence[str], value: str, name: str = "changed") -> DataFrame:
+    """True where the value differs from the key's previous row; false on the first row."""
+    before = previous_value(df, [key], order, value, "_previous")
+    return before.withColumn(name, F.coalesce(F.col(value) != F.col("_previous"), F.lit(False))).drop("_previous")
