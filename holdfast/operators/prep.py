@@ -323,7 +323,7 @@ def latest_date_gap(
 
 
 def running_standing(
-    df: DataFrame, key: str, order: Sequence[str], value: str, below: dict[str, float], default: str, digits: int = 4
+    df: DataFrame, key: str, order: Sequence[str], value: str, below: dict[str, float], default: str, digits: int = 2
 ) -> DataFrame:
     """Cumulative mean of the value per key in order, and the first label whose limit it is below."""
     ones = df.withColumn("_one", F.col(value).isNotNull().cast("bigint"))

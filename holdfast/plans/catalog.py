@@ -1,6 +1,6 @@
 """All registered queries; importing a module registers its queries."""
 
-from holdfast.plans import checks, distributions, personal_data, preparation, relational  # noqa: F401
+from holdfast.plans import checks, distributions, monitoring, personal_data, preparation, relational, scoring  # noqa: F401
 from holdfast.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -290,9 +290,9 @@ def date_gap(spark, sf):
 @query(
     "running_average",
     """
-    select user_id, event_id, round(avg(value) over w, 4) as average,
-           case when round(avg(value) over w, 4) < 15 then 'suspension'
-                when round(avg(value) over w, 4) < 30 then 'probation' else 'good' end as standing
+    select user_id, event_id, round(avg(value) over w, 10) as average,
+           case when round(avg(value) over w, 10) < 15 then 'suspension'
+                when round(avg(value) over w, 10) < 30 then 'probation' else 'good' end as standing
     from events
     window w as (partition by user_id order by ts, event_id rows unbounded preceding)
     """,
@@ -300,7 +300,7 @@ def date_gap(spark, sf):
 def running_average(spark, sf):
     """Cumulative mean per entity in time order, and the standing derived from it."""
     return prep.running_standing(
-        table(spark, sf, "events"), "user_id", ["ts", "event_id"], "value", {"suspension": 15, "probation": 30}, "good"
+        table(spark, sf, "events"), "user_id", ["ts", "event_id"], "value", {"suspension": 15, "probation": 30}, "good", 10
     ).select("user_id", "event_id", "average", "standing")
 
 
