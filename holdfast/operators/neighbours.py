@@ -98,10 +98,11 @@ def _descend(frame: DataFrame, level: dict) -> DataFrame:
 def _search(k: int, within: bool, keep_self: bool):
     """Nearest candidates of a box for its queries, block by block."""
 
-    def search(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        queries, points = rows[rows["asking"]], rows[~rows["asking"]]
         columns = ["id", "neighbour", "distance", "nvec", "nlabel"]
         if not len(queries) or not len(points):
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in zip(columns, ("int64", "int64", "float64", "object", "int32"))})
         points = points.sort_values("id", kind="stable").reset_index(drop=True)
         p = np.stack(points["vec"].to_numpy())
         pid, plabel = points["id"].to_numpy(), points["label"].to_numpy()
@@ -139,18 +140,17 @@ _FOUND = "id bigint, neighbour bigint, distance double, nvec array<double>, nlab
 def _by_box(queries: DataFrame, points: DataFrame, query_rows: int, search) -> DataFrame:
     """Run the search per (box, salt); a box with many queries gets several salts."""
     load = queries.groupBy("box").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("salts"))
-    dealt = queries.join(F.broadcast(load), "box").withColumn(  # one row per box
-        "salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
+    load = F.broadcast(load)  # one row per box
+    reach = "reach" if "reach" in queries.columns else F.lit(None).cast("double").alias("reach")
+    dealt = queries.join(load, "box").select(
+        F.lit(True).alias("asking"), "box", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"),
+        "id", "vec", F.lit(None).cast("int").alias("label"), reach,
     )
-    copies = points.join(F.broadcast(load), "box").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-    )
-    return (
-        dealt.drop("salts")
-        .groupBy("box", "salt")
-        .cogroup(copies.drop("salts").groupBy("box", "salt"))
-        .applyInPandas(search, _FOUND)
+    copies = points.join(load, "box").select(
+        F.lit(False).alias("asking"), "box", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        "id", "vec", "label", F.lit(None).cast("double").alias("reach"),
     )
+    return dealt.unionByName(copies).groupBy("box", "salt").applyInPandas(search, _FOUND)
 
 
 def _other_boxes(boxes: list, schema: T.StructType):

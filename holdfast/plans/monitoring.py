@@ -9,19 +9,24 @@ from holdfast.sources.messages import encode
 from holdfast.streaming import alerts, jobs, windows
 
 
-def messages(spark, sf):
+def _sent(events):
     """Every event as an alert message; some without a body, some with missing fields."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     body = F.struct(
         F.when(k % 7 != 0, k % 10).alias("drifted_features"),
         F.when(k % 5 != 0, F.struct((k % 11 == 0).alias("drifted"))).alias("prediction_drift"),
     )
-    return table(spark, sf, "events").select(
+    return events.select(
         F.col("event_id").alias("message_id"),
+        "ts",
         F.when(F.col("event_type") != "error", encode(body)).alias("data"),
     )
 
 
+def messages(spark, sf):
+    return _sent(table(spark, sf, "events")).drop("ts")
+
+
 MESSAGES_SQL = """
     m as (
         select event_id as message_id, event_type, (props->>'$.k')::bigint as k from events
@@ -189,18 +194,9 @@ def stream_window_mean(spark, sf):
 )
 def stream_retrain_decision(spark, sf):
     """Redelivered messages dropped, then decoded and decided, as a stream run to its end."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    body = F.struct(
-        F.when(k % 7 != 0, k % 10).alias("drifted_features"),
-        F.when(k % 5 != 0, F.struct((k % 11 == 0).alias("drifted"))).alias("prediction_drift"),
-    )
+    sent = _sent(_event_stream(spark, sf)).withColumn("publish_time", F.col("ts").cast("timestamp"))
     # every message is delivered twice
-    sent = _event_stream(spark, sf).select(
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"),
-        F.col("event_id").alias("message_id"),
-        F.col("ts").cast("timestamp").alias("publish_time"),
-        F.when(F.col("event_type") != "error", encode(body)).alias("data"),
-    )
-    once = alerts.deduplicate(sent.drop("delivery"))
+    sent = sent.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+    once = alerts.deduplicate(sent.drop("delivery", "ts"))
     decided = alerts.retrain_decisions(alerts.decode_alerts(once)).select("message_id", "action")
     return jobs.drain_rows(decided, "retrain-decision")
