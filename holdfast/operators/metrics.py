@@ -13,53 +13,45 @@ from holdfast.operators.quality import col
 METRICS = ("accuracy", "auc", "precision", "recall", "f1", "tp_rate", "tn_rate")
 
 
-def confusion(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp; all zero when labels and predictions together show only one class."""
+def _counts(df: DataFrame, label: str, predicted: str, by: Sequence[str]) -> DataFrame:
     y, z = col(label).cast("int"), col(predicted).cast("int")
-    cells = df.groupBy(*by).agg(
-        F.count_if((y == 0) & (z == 0)).alias("tn"),
-        F.count_if((y == 0) & (z == 1)).alias("fp"),
-        F.count_if((y == 1) & (z == 0)).alias("fn"),
-        F.count_if((y == 1) & (z == 1)).alias("tp"),
-        F.count_if(y == z).alias("agreeing"),
-        F.count_if(y.isNotNull() & z.isNotNull()).alias("total"),
-    )
-    none_missing = F.col("fp") + F.col("fn") + F.least("tn", "tp")
-    two_by_two = none_missing > 0
-    return cells.select(
-        *by, *[F.when(two_by_two, F.col(c)).otherwise(0).alias(c) for c in ("tn", "fp", "fn", "tp")], "agreeing", "total"
+    return df.groupBy(*by).agg(
+        F.count_if((y == 0) & (z == 0)).alias("_tn"),
+        F.count_if((y == 0) & (z == 1)).alias("_fp"),
+        F.count_if((y == 1) & (z == 0)).alias("_fn"),
+        F.count_if((y == 1) & (z == 1)).alias("_tp"),
     )
 
 
+def _cells() -> list[Column]:
+    """The matrix, reading zero where labels and predictions together show only one class."""
+    both_classes = F.col("_fp") + F.col("_fn") + F.least("_tn", "_tp") > 0
+    return [F.when(both_classes, F.col(f"_{c}")).otherwise(0).alias(c) for c in ("tn", "fp", "fn", "tp")]
+
+
+def confusion(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """tn, fp, fn, tp; all zero when labels and predictions together show only one class."""
+    return _counts(df, label, predicted, by).select(*by, *_cells())
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
 def class_metrics(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """Confusion counts with accuracy, precision, recall, F1, true positive and negative rate."""
-    y, z = col(label).cast("int"), col(predicted).cast("int")
-    hits = df.groupBy(*by).agg(
-        F.count_if((y == 1) & (z == 1)).alias("_hit"),
-        F.count_if(z == 1).alias("_said"),
-        F.count_if(y == 1).alias("_is"),
-    )
-    table = confusion(df, label, predicted, by)
-    if by:
-        joined = table.join(hits, list(by))
-    else:
-        joined = table.withColumn("_h", hits.select(F.struct("*")).scalar()).select("*", "_h.*").drop("_h")
-    precision = _ratio(F.col("_hit"), F.col("_said"))
-    recall = _ratio(F.col("_hit"), F.col("_is"))
-    return joined.select(
+    table = _counts(df, label, predicted, by).select("*", *_cells())
+    tn, fp, fn, tp = (F.col(f"_{c}") for c in ("tn", "fp", "fn", "tp"))
+    return table.select(
         *by,
         "tn",
         "fp",
         "fn",
         "tp",
-        _ratio(F.col("agreeing"), F.col("total")).alias("accuracy"),
-        precision.alias("precision"),
-        recall.alias("recall"),
-        _ratio(2 * precision * recall, precision + recall).alias("f1"),
+        _ratio(tn + tp, tn + fp + fn + tp).alias("accuracy"),
+        _ratio(tp, tp + fp).alias("precision"),
+        _ratio(tp, tp + fn).alias("recall"),
+        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("tp_rate"),
         _ratio(F.col("tn"), F.col("tn") + F.col("fp")).alias("tn_rate"),
     )
