@@ -107,7 +107,7 @@ def _logistic(rows: int, **p) -> Estimator:
 
 ALGORITHMS = {
     "xgboost": lambda rows, **p: GBTClassifier(**({"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "seed": SEED} | p)),
-    "random_forest": lambda rows, **p: RandomForestClassifier(**({"numTrees": 100, "maxDepth": 15, "seed": SEED} | p)),
+    "random_forest": lambda rows, **p: RandomForestClassifier(**({"numTrees": 100, "maxDepth": 10, "maxMemoryInMB": 1024, "seed": SEED} | p)),
     "logistic_regression": _logistic,
     "adaboost": lambda rows, **p: StumpBoosting(**({"maxIter": 50, "seed": SEED} | p)),
     "decision_tree": lambda rows, **p: DecisionTreeClassifier(**({"maxDepth": 10, "seed": SEED} | p)),
@@ -185,6 +185,12 @@ def evaluate(models: dict[str, Model], frame: DataFrame) -> DataFrame:
     return rates.join(area, "model").withColumn("auc", F.coalesce("auc", F.lit(0.0)))
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """At least one partition per core for the many passes of a fit; larger frames stay as they are."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def train(
     frame: DataFrame,
     algorithms: Sequence[str] = tuple(ALGORITHMS),
@@ -214,7 +220,7 @@ def train(
                 rows = balance(rows)
             except resample.ResampleError as problem:
                 status = f"skipped: {problem}"
-        ready = with_vectors(rows).select("features", "label").persist()
+        ready = spread(with_vectors(rows).select("features", "label")).persist()
         try:
             n = ready.count()
             for algorithm in algorithms:

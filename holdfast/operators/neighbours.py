@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from holdfast.session import materialise
 
 BOX_ROWS = 4000
+MAX_BOXES = 50_000  # bounds what is sent to every task; beyond it boxes grow instead
 QUERY_ROWS = 20000
 _BLOCK = 4_000_000  # distances held at a time inside a task
 
@@ -64,7 +65,7 @@ def _cut(points: DataFrame, dim: int, box_rows: int) -> tuple[DataFrame, list[di
         )
         grid = [i / 48 for i in range(1, 48)]
         quantiles = (
-            points.join(F.broadcast(plan), "box")  # one row per box to split
+            points.join(F.broadcast(plan), "box")  # one row per box to split, under MAX_BOXES
             .groupBy("box")
             .agg(F.percentile_approx(F.get("vec", F.col("axis")), grid, 1000).alias("q"))
             .collect()
@@ -89,7 +90,7 @@ def _descend(frame: DataFrame, level: dict) -> DataFrame:
         [(b, axis, borders, first) for b, (axis, borders, first) in level.items()],
         "box bigint, _axis int, _cuts array<double>, _first bigint",
     )
-    moved = frame.join(F.broadcast(cuts), "box", "left")
+    moved = frame.join(F.broadcast(cuts), "box", "left")  # one row per split box
     at = F.get("vec", F.col("_axis"))
     piece = F.col("_first") + F.size(F.filter("_cuts", lambda c: c < at))
     return moved.withColumn("box", F.coalesce(piece, F.col("box"))).drop("_axis", "_cuts", "_first")
@@ -140,7 +141,7 @@ _FOUND = "id bigint, neighbour bigint, distance double, nvec array<double>, nlab
 def _by_box(queries: DataFrame, points: DataFrame, query_rows: int, search) -> DataFrame:
     """Run the search per (box, salt); a box with many queries gets several salts."""
     load = queries.groupBy("box").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("salts"))
-    load = F.broadcast(load)  # one row per box
+    load = F.broadcast(load)  # one row per box, MAX_BOXES or so of them
     reach = "reach" if "reach" in queries.columns else F.lit(None).cast("double").alias("reach")
     dealt = queries.join(load, "box").select(
         F.lit(True).alias("asking"), "box", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"),
@@ -196,7 +197,7 @@ def nearest_neighbours(
     first = distinct.first()
     if first is None:
         return queries.sparkSession.createDataFrame([], f"{_FOUND}, rank int")
-    boxed, levels = _cut(distinct, len(first["vec"]), box_rows)
+    boxed, levels = _cut(distinct, len(first["vec"]), max(box_rows, -(-distinct.count() // MAX_BOXES)))
     asking = queries.select("id", "vec").withColumn("box", F.lit(0).cast("bigint"))
     for level in levels:
         asking = _descend(asking, level)

@@ -107,10 +107,12 @@ def adasyn(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
 def tomek_links(frame: DataFrame) -> DataFrame:
     """Ids of rows in a link: mutual nearest neighbours of opposite class."""
     frame = _fixed(frame)
-    nearest = materialise(nearest_neighbours(frame, frame, 1).select("id", "neighbour", "nlabel"))
+    nearest = nearest_neighbours(frame, frame, 1).select("id", "neighbour", "nlabel")
     opposite = nearest.join(frame.select("id", "label"), "id").where("label <> nlabel")
-    back = nearest.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("_back"))
-    return opposite.join(back, "neighbour").where("_back = id").select("id")
+    # a pair seen from both ends is mutual; counting pairs needs no join on a crowded neighbour
+    pairs = opposite.groupBy(F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b"))
+    mutual = pairs.agg(F.count(F.lit(1)).alias("n")).where("n = 2")
+    return mutual.select(F.explode(F.array("a", "b")).alias("id"))
 
 
 def remove_tomek_links(frame: DataFrame) -> DataFrame:

@@ -48,3 +48,11 @@ def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so later jobs see one fixed set of rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+    """Write a frame as Parquet and read it back: later jobs scan only the columns they need, and a
+    lost executor costs a re-read, not the whole lineage."""
+    path = f"{folder.rstrip('/')}/{label}.parquet" if folder else fresh_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
