@@ -57,42 +57,46 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Type, nulls, distinct count and, for numbers and flags, min, max, mean and sample deviation."""
+    """Type, nulls, distinct count and, for numbers and flags, min, max, mean and sample deviation.
+
+    Every row is turned into (column, value) pairs that are folded per column before the shuffle, so
+    wide tables cost one small aggregate instead of hundreds side by side.
+    """
     columns = list(columns or df.columns)
     numbers = set(numeric_columns(df, with_boolean=True))
     types = dict(df.dtypes)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(columns):
-        aggs.append(F.count(col(c)).alias(f"c{i}"))
-        if c in numbers:
-            number = col(c).cast("int").cast("double") if types[c] == "boolean" else col(c).cast("double")
-            aggs += [
-                F.min(number).alias(f"lo{i}"),
-                F.max(number).alias(f"hi{i}"),
-                F.avg(number).alias(f"mean{i}"),
-                F.stddev_samp(number).alias(f"std{i}"),
-            ]
-        if not exact:
-            aggs.append(F.approx_count_distinct(col(c)).alias(f"d{i}"))
-    none = F.lit(None).cast("double")
-    rows = []
-    for i, c in enumerate(columns):
-        stat = (lambda name: F.col(f"{name}{i}")) if c in numbers else (lambda name: none)
-        nulls = F.col("n") - F.col(f"c{i}")
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(types[c]).alias("dtype"),
-                nulls.alias("null_count"),
-                F.round(F.try_divide(nulls, F.col("n")), 4).alias("null_pct"),
-                stat("lo").alias("min"),
-                stat("hi").alias("max"),
-                F.round(stat("mean"), 4).alias("mean"),
-                F.round(stat("std"), 4).alias("std"),
-                *([] if exact else [F.col(f"d{i}").alias("distinct_count")]),
+
+    def number(c: str) -> Column:
+        if c not in numbers:
+            return F.lit(None).cast("double")
+        return col(c).cast("int").cast("double") if types[c] == "boolean" else col(c).cast("double")
+
+    cells = df.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        F.lit(types[c]).alias("dtype"),
+                        col(c).isNull().alias("missing"),
+                        number(c).alias("value"),
+                        *([] if exact else [F.xxhash64(col(c)).alias("hash")]),
+                    )
+                    for c in columns
+                ]
             )
         )
-    profile = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    )
+    sketch = [] if exact else [F.approx_count_distinct(F.when(~F.col("missing"), F.col("hash"))).alias("distinct_count")]
+    profile = cells.groupBy("column", "dtype").agg(
+        F.count_if("missing").alias("null_count"),
+        F.round(F.avg(F.col("missing").cast("double")), 4).alias("null_pct"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.round(F.avg("value"), 4).alias("mean"),
+        F.round(F.stddev_samp("value"), 4).alias("std"),
+        *sketch,
+    )
     if not exact:
         return profile
     return profile.join(distinct_counts(df, columns), "column", "left").fillna(0, ["distinct_count"])
