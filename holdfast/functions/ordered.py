@@ -35,18 +35,29 @@ def _bucket_of(value: Column, borders: Column, buckets: int) -> Column:
     )
 
 
-def _with_buckets(df: DataFrame, keys: Sequence[str], order: str) -> tuple[DataFrame, list[str]]:
-    """Add ``_bucket`` by the order column, and one non-null column standing for nullable keys."""
+def _with_buckets(
+    df: DataFrame, keys: Sequence[str], order: str, read: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Add ``_bucket`` by the order column, and one non-null column standing for nullable keys.
+
+    The border subquery also touches the ``read`` columns: it then scans exactly what the main plan
+    scans, and Spark runs a shuffle below both only once.
+    """
     buckets = bucket_count(df.sparkSession)
     position = F.col(order)
     if dict(df.dtypes)[order] in ("timestamp_ntz", "date"):
         position = position.cast("timestamp")
     position = position.cast("double")
     percentages = [i / buckets for i in range(1, buckets)]
-    borders = df.agg(F.percentile_approx(position, percentages, max(1000, 4 * buckets))).scalar()
+    borders = df.agg(
+        F.struct(
+            F.percentile_approx(position, percentages, max(1000, 4 * buckets)).alias("at"),
+            *[F.max(c).alias(f"_{i}") for i, c in enumerate([*keys, *read])],
+        )
+    ).scalar()
     # a subquery cannot stand inside the lambda, so it passes through a column
     placed = df.withColumn("_borders", borders)
-    placed = placed.withColumn("_bucket", _bucket_of(position, F.col("_borders"), buckets)).drop("_borders")
+    placed = placed.withColumn("_bucket", _bucket_of(position, F.col("_borders.at"), buckets)).drop("_borders")
     nullable = any(f.nullable for f in df.schema.fields if f.name in keys)
     if not nullable:
         return placed, list(keys)
@@ -72,7 +83,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
 
     The first order column must cast to a number (numbers, dates and timestamps do).
     """
-    placed, by = _with_buckets(df, keys, order[0])
+    placed, by = _with_buckets(df, keys, order[0], sums)
     inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.ordered import running_totals
+from holdfast.functions.ordered import running_sums
 from holdfast.operators.quality import col, numeric_columns, value_shares
 from holdfast.operators.relate import align_distributions
 
@@ -202,7 +202,7 @@ def distribution_skew(
     )
     totals = counted.groupBy("feature").agg(F.sum("train").alias("n"), F.sum("serve").alias("m"))
     enough = totals.where((F.col("n") >= MIN_VALUES) & (F.col("m") >= MIN_VALUES))
-    running = running_totals(counted, ["feature"], "value", ["train", "serve"])
+    running = running_sums(counted, ["feature"], ["value"], ["train", "serve"])
     gap = F.abs(F.col("cum_train") / F.col("n") - F.col("cum_serve") / F.col("m"))
     return (
         running.join(F.broadcast(enough), "feature")  # one row per feature
