@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 
 from holdfast.session import materialise
 
-BOX_ROWS = 4000
+BOX_ROWS = 2000
 MAX_BOXES = 50_000  # bounds what is sent to every task; beyond it boxes grow instead
 QUERY_ROWS = 20000
-_BLOCK = 4_000_000  # distances held at a time inside a task
+_BLOCK = 1_000_000  # distances held at a time inside a task
 
 
 def _bounds(points: DataFrame, dim: int) -> list:
@@ -109,21 +109,29 @@ def _search(k: int, within: bool, keep_self: bool):
         pid, plabel = points["id"].to_numpy(), points["label"].to_numpy()
         pvec = points["vec"].to_numpy()
         found = []
-        step = max(1, _BLOCK // max(1, len(p) * p.shape[1]))
+        step = max(1, _BLOCK // len(p))
         for start in range(0, len(queries), step):
             block = queries.iloc[start : start + step]
-            q = np.stack(block["vec"].to_numpy())
-            distance = np.sqrt(((q[:, None, :] - p[None, :, :]) ** 2).sum(axis=2))
+            ids, q = block["id"].to_numpy(), np.stack(block["vec"].to_numpy())
+            square = np.zeros((len(q), len(p)))
+            for d in range(p.shape[1]):
+                side = q[:, d, None] - p[None, :, d]
+                side *= side
+                square += side
             if not keep_self:
-                distance[block["id"].to_numpy()[:, None] == pid[None, :]] = np.inf
-            if within:
-                distance[distance > block["reach"].to_numpy()[:, None]] = np.inf
+                at = np.searchsorted(pid, ids)
+                own = np.flatnonzero((at < len(pid)) & (pid[np.minimum(at, len(pid) - 1)] == ids))
+                square[own, at[own]] = np.inf
             take = min(k, len(p))
-            kth = np.partition(distance, take - 1, axis=1)[:, take - 1 : take]
+            limit = np.partition(square, take - 1, axis=1)[:, take - 1]
             # everything up to the k-th distance, so that ties resolve by id
-            row, column = np.nonzero((distance <= kth) & np.isfinite(distance))
+            row, column = np.nonzero((square <= limit[:, None]) & np.isfinite(square))
+            distance = np.sqrt(square[row, column])
+            if within:
+                inside = distance <= block["reach"].to_numpy()[row]
+                row, column, distance = row[inside], column[inside], distance[inside]
             near = pd.DataFrame(
-                {"id": block["id"].to_numpy()[row], "neighbour": pid[column], "distance": distance[row, column], "at": column}
+                {"id": ids[row], "neighbour": pid[column], "distance": distance, "at": column}
             )
             near = near.sort_values(["id", "distance", "neighbour"]).groupby("id", sort=False).head(k)
             found.append(near)
@@ -151,7 +159,11 @@ def _by_box(queries: DataFrame, points: DataFrame, query_rows: int, search) -> D
         F.lit(False).alias("asking"), "box", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         "id", "vec", "label", F.lit(None).cast("double").alias("reach"),
     )
-    return dealt.unionByName(copies).groupBy("box", "salt").applyInPandas(search, _FOUND)
+    rows = dealt.unionByName(copies)
+    # light in bytes but heavy to compute: keep the partitions that size-based coalescing would merge
+    context = rows.sparkSession
+    tasks = max(int(context.conf.get("spark.sql.shuffle.partitions")), 4 * context.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, "box", "salt").groupBy("box", "salt").applyInPandas(search, _FOUND)
 
 
 def _other_boxes(boxes: list, schema: T.StructType):
