@@ -181,9 +181,11 @@ def distribution_skew(
     features: Sequence[str] | None = None,
     threshold: float = 0.1,
     ignore: Sequence[str] = (),
+    first: int | None = None,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic, asymptotic p-value and flag per feature."""
-    features = list(features or common_features(train, serve, ignore))
+    """Two-sample Kolmogorov-Smirnov statistic, asymptotic p-value and flag per feature; ``first``
+    limits the report to that many features in name order."""
+    features = list(features or common_features(train, serve, ignore))[:first]
     cells = [
         F.struct(F.lit(c).alias("feature"), F.col(f"_{i}").alias("value")) for i, c in enumerate(features)
     ]

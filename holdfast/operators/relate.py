@@ -17,7 +17,8 @@ def latest_values(df: DataFrame, key: str, order: Sequence[str], values: Sequenc
     A partial aggregate runs before the shuffle, so a hot key costs no more than any other.
     """
     values = [c for c in (values or df.columns) if c != key]
-    at = F.struct(*order)
+    # a single number keeps the aggregate on hashes; a struct of tie-breaks makes it sort
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     return df.groupBy(key).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in values]
     )

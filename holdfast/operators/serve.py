@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import skew
+from holdfast.operators.prep import engineer_features
 from holdfast.operators.quality import col
 
 # Bounds of the optional request fields (lower, upper or None).
@@ -73,6 +74,17 @@ def align_features(df: DataFrame, expected: Sequence[str], keep: Sequence[str] =
     )
 
 
+def request_features(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ("student_id",)) -> DataFrame:
+    """The model's input for scoring requests: defaults, the same derived features as in training in
+    their guarded form, then the model's columns by name."""
+    return align_features(engineer_features(with_defaults(df), guarded=True), expected, keep)
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 50) -> DataFrame:
+    """The first ``n`` rows in a stated order, for reports that show a few instances."""
+    return df.orderBy(*order).limit(n)
+
+
 def _salted_requests(requests: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Requests with hot keys spread over salts, and the hot keys themselves."""
     hot = skew.hot_keys(requests, key)

@@ -299,13 +299,40 @@ def vif(spark, sf):
     return out.withColumn("vif", F.round("vif", 4))
 
 
-@query("pair_cull")
+@query(
+    "pair_cull",
+    f"""
+    with {NUMBERS_SQL},
+    s as (
+        select abs(corr(l_quantity, price)) > 0.85 as ab, abs(corr(l_quantity, mix)) > 0.85 as ac,
+               abs(corr(price, mix)) > 0.85 as bc, count(distinct l_quantity) as a, count(distinct price) as b,
+               count(distinct mix) as c
+        from t
+    ),
+    first as (
+        -- the first feature against the second, then the third, each unless dropped before
+        select *, ab and a <= b as a1, ab and a > b as b1 from s
+    ),
+    second as (
+        select *, a1 or (ac and a <= c) as a2, ac and a > c as c2 from first
+    ),
+    third as (
+        select a2, b1 or (not b1 and not c2 and bc and b <= c) as b3, c2 or (not b1 and not c2 and bc and b > c) as c3
+        from second
+    )
+    select 'l_quantity' as feature, {_corr("l_quantity", "target")} as correlation from t where not (select a2 from third) having count(*) > 0
+    union all
+    select 'price', {_corr("price", "target")} from t where not (select b3 from third) having count(*) > 0
+    union all
+    select 'mix', {_corr("mix", "target")} from t where not (select c3 from third) having count(*) > 0
+    """,
+)
 def pair_cull(spark, sf):
     """Features left after the redundant-pair cull, with their target correlation."""
     frame = numbers(spark, sf)
     features = ["l_quantity", "price", "mix"]
     dropped = reduce.redundant_features(frame, features, 0.85)
-    return reduce.target_correlations(frame, [c for c in features if c not in dropped], "target")
+    return _rounded(reduce.target_correlations(frame, [c for c in features if c not in dropped], "target"))
 
 
 @query("reduce_dimensions")

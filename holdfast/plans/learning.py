@@ -37,7 +37,19 @@ def order_examples(spark, sf):
     return learn.examples(rounded, "returned", "orderkey", FEATURES)
 
 
-@query("stratified_split")
+LABELS_SQL = """
+    labels_ as (
+        select l_orderkey as id, max((l_returnflag = 'R')::int) as label
+        from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
+        group by 1
+    )
+"""
+
+
+@query(
+    "stratified_split",
+    f"with {LABELS_SQL} select label, count(*) as n, round(count(*) * 0.2)::bigint as n_test from labels_ group by 1",
+)
 def stratified_split(spark, sf):
     split = learn.stratified_split(order_examples(spark, sf).select("id", "label"), "label", "id")
     return split.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test"))
@@ -49,6 +61,20 @@ def fold_assignment(spark, sf):
     return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("label"), 4).alias("class_share"))
 
 
+@query(
+    "smote_counts",
+    f"""
+    with {LABELS_SQL}, c as (select label, count(*) as n from labels_ group by 1)
+    select label, (select max(n) from c) as n, (select max(n) from c) - n as synthetic from c
+    """,
+)
+def smote_counts(spark, sf):
+    """Class sizes after oversampling to parity."""
+    return resample.smote(order_examples(spark, sf)).groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") < 0).alias("synthetic")
+    )
+
+
 def _class_summary(frame):
     return frame.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),

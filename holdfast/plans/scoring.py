@@ -365,6 +365,34 @@ def reindex_features(spark, sf):
     return serve.align_features(frame, ["l_tax", "not_there", "line"], ["orderkey"])
 
 
+@query(
+    "request_features",
+    """
+    with t as (
+        select l_orderkey as orderkey, coalesce(nullif(l_linenumber, 3), -1)::double as hs_gpa, l_quantity / 10 as cumulative_gpa,
+               coalesce(nullif(l_linenumber, 5), -1)::double as credits_attempted, l_tax * 100 as credits_earned,
+               (l_returnflag = 'R')::int as pell_eligible
+        from lineitem
+    )
+    select orderkey, round(case when cumulative_gpa > 0 and hs_gpa > 0 then cumulative_gpa - hs_gpa else -1.0 end, 6) as gpa_change,
+           round(case when credits_attempted > 0 then credits_earned / credits_attempted else 0.0 end, 6) as credit_ratio,
+           pell_eligible::double as pell_eligible, -1.0::double as efc, 0.0::double as kind_other
+    from t
+    """,
+)
+def request_features(spark, sf):
+    """Requests turned into the model's input: defaults, guarded features, the model's columns."""
+    requests = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey as orderkey", "cast(nullif(l_linenumber, 3) as double) as hs_gpa", "l_quantity / 10 as cumulative_gpa",
+        "cast(nullif(l_linenumber, 5) as double) as credits_attempted", "l_tax * 100 as credits_earned",
+        "l_returnflag = 'R' as pell_eligible",
+    )
+    out = serve.request_features(
+        requests, ["gpa_change", "credit_ratio", "pell_eligible", "efc", "kind_other"], ["orderkey"]
+    )
+    return out.withColumns({c: F.round(c, 6) for c in ("gpa_change", "credit_ratio")})
+
+
 @query("traffic_split")
 def traffic_split(spark, sf):
     """Share of orders assigned to each model version."""

@@ -70,89 +70,110 @@ def prepare(
     return out
 
 
-def derived_tables(spark, sf_dir: str) -> dict[str, DataFrame]:
-    """The four student tables in the shape of their schemas, computed from the shared tables.
-
-    Every order plays a student, its lines the terms, its customer the financial aid.
-    """
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    orders, lines, customer = read("orders"), read("lineitem"), read("customer")
-    key = "lpad(cast({} as string), 12, '0')"
-    draw = lambda name, n: f"pmod(xxhash64(o_orderkey, '{name}'), {n})"
-    pick = lambda name, *values: f"element_at(array({', '.join(repr(v) for v in values)}), cast({draw(name, len(values))} as int) + 1)"
-    campus = pick("campus", "North", "South", "East", "West", "Online")
-    demographics = orders.selectExpr(
-        f"{key.format('o_orderkey')} as student_id",
-        "concat('First', o_custkey) as first_name",
-        "concat('Last', o_orderkey) as last_name",
-        "concat('s', o_orderkey, '@example.edu') as email",
-        f"case when {draw('ssn', 10)} < 7 then lpad(cast({draw('four', 10000)} as string), 4, '0') end as ssn_last4",
-        f"date_add(date'2001-01-01', cast({draw('birth', 1000)} as int)) as birth_date",
-        f"{pick('gender', 'F', 'M', 'X', 'U')} as gender",
-        f"{pick('ethnicity', 'A', 'B', 'C', 'D', 'E', 'F', 'G', 'H')} as ethnicity",
-        f"{draw('first', 10)} < 3 as first_generation_flag",
-        f"case when {draw('nogpa', 50)} > 0 then round(1.5 + {draw('gpa', 251)} / 100, 2) end as hs_gpa",
-        f"case when {draw('badsat', 100)} = 0 then 9999 else 400 + 10 * {draw('sat', 121)} end as sat_score",
-        f"1 + {draw('act', 36)} as act_score",
-        f"concat('S', {draw('state', 20)}) as home_state",
-        f"lpad(cast({draw('zip', 100000)} as string), 5, '0') as home_zip",
-        f"{campus} as campus",
-        f"cast(40 + {draw('campus', 5)} as double) as campus_latitude",
-        f"cast(-80 - {draw('campus', 5)} as double) as campus_longitude",
-        f"round({draw('miles', 8000)} / 10, 1) as campus_distance_miles",
-        f"round(30 + {draw('lat', 2000)} / 100, 2) as hs_latitude",
-        f"round(-120 + {draw('lon', 4000)} / 100, 2) as hs_longitude",
-        "2019 + pmod(o_orderkey, 3) as cohort_year",
-        f"case when {draw('note', 100)} < 15 then concat('Student SSN for verification: ', lpad(cast({draw('s1', 1000)} as string), 3, '0'), '-', lpad(cast({draw('s2', 100)} as string), 2, '0'), '-', lpad(cast({draw('s3', 10000)} as string), 4, '0')) end as notes",
-        f"case when {draw('line', 100)} < 5 then concat('Contact: (', 200 + {draw('p1', 800)}, ') ', 200 + {draw('p2', 800)}, '-', 1000 + {draw('p3', 9000)}) end as address_line2",
-    )
+def _draw(name: str, n: int) -> str:
+    """Number in 0..n-1 from the order key: arithmetic on a multiplier that differs by name."""
+    seed = sum((i + 1) * ord(c) for i, c in enumerate(name))
+    return f"((o_orderkey * {1009 + 2 * seed} + {seed * 7919}) % 1000003 % {n})"
+
+
+def _pick(name: str, *values: str) -> str:
+    cases = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
+    return f"(case {_draw(name, len(values))} {cases} end)"
+
+
+def _digits(number: str, width: int) -> str:
+    return f"lpad(cast({number} as varchar(20)), {width}, '0')"
+
+
+# The student tables as SQL over the shared tables.
+# Every order plays a student, its lines the terms, its customer the financial aid.
+DERIVED = {
+    "demographics": f"""
+        select {_digits("o_orderkey", 12)} as student_id,
+               concat('First', o_custkey) as first_name,
+               concat('Last', o_orderkey) as last_name,
+               concat('s', o_orderkey, '@example.edu') as email,
+               case when {_draw("ssn", 10)} < 7 then {_digits(_draw("four", 10000), 4)} end as ssn_last4,
+               date '2001-01-01' + cast({_draw("birth", 1000)} as int) as birth_date,
+               {_pick("gender", "F", "M", "X", "U")} as gender,
+               {_pick("ethnicity", "A", "B", "C", "D", "E", "F", "G", "H")} as ethnicity,
+               {_draw("first", 10)} < 3 as first_generation_flag,
+               case when {_draw("nogpa", 50)} > 0 then 1.5e0 + {_draw("gpa", 251)} / 100e0 end as hs_gpa,
+               case when {_draw("badsat", 100)} = 0 then 9999 else 400 + 10 * {_draw("sat", 121)} end as sat_score,
+               1 + {_draw("act", 36)} as act_score,
+               concat('S', {_draw("state", 20)}) as home_state,
+               {_digits(_draw("zip", 100000), 5)} as home_zip,
+               {_pick("campus", "North", "South", "East", "West", "Online")} as campus,
+               40e0 + {_draw("campus", 5)} as campus_latitude,
+               -80e0 - {_draw("campus", 5)} as campus_longitude,
+               {_draw("miles", 8000)} / 10e0 as campus_distance_miles,
+               30e0 + {_draw("lat", 2000)} / 100e0 as hs_latitude,
+               -120e0 + {_draw("lon", 4000)} / 100e0 as hs_longitude,
+               2019 + o_orderkey % 3 as cohort_year,
+               case when {_draw("note", 100)} < 15 then concat('Student SSN for verification: ',
+                    {_digits(_draw("s1", 1000), 3)}, '-', {_digits(_draw("s2", 100), 2)}, '-',
+                    {_digits(_draw("s3", 10000), 4)}) end as notes,
+               case when {_draw("line", 100)} < 5 then concat('Contact: (', 200 + {_draw("p1", 800)}, ') ',
+                    200 + {_draw("p2", 800)}, '-', 1000 + {_draw("p3", 9000)}) end as address_line2
+        from {{orders}}
+    """,
     # several lines of an order may share a number, so a term is one number of one order
-    terms = lines.groupBy("l_orderkey", "l_linenumber").agg(
-        F.round(F.avg("l_quantity") / 12.5, 2).alias("term_gpa"),
-        F.round(F.avg("l_discount") * 40, 2).alias("cumulative_gpa"),
-        F.max("l_returnflag").alias("flag"),
-        F.max("l_suppkey").alias("supp"),
-    )
-    academic = terms.selectExpr(
-        f"{key.format('l_orderkey')} as student_id",
-        "concat('Term ', l_linenumber) as term",
-        "cast(201900 + 100 * l_linenumber as bigint) as term_code",
-        "term_gpa",
-        "case when supp % 9 > 0 then cumulative_gpa end as cumulative_gpa",
-        "cast(12 + supp % 7 as bigint) as credits_attempted",
-        "cast(8 + supp % 5 as bigint) as credits_earned",
-        "cast(4 + supp % 3 as bigint) as course_count",
-        "concat('Major ', supp % 12) as major",
-        "supp % 8 = 0 as major_changed_flag",
-        "case when term_gpa < 1.5 then 'suspension' when term_gpa < 2.0 then 'probation' else 'good' end as academic_standing",
-        "concat('Campus ', supp % 5) as campus",
-    )
-    aid = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
-        f"{key.format('o_orderkey')} as student_id",
-        "cast(o_orderdate as date) as fafsa_filed_date",
-        "round(abs(c_acctbal) * 3, 2) as efc",
-        "abs(c_acctbal) * 3 < 6000 as pell_eligible",
-        "round(o_totalprice / 20, 2) as total_aid_amount",
-        f"round(o_totalprice / 20 * {draw('loan', 100)} / 100, 2) as loan_amount",
-        f"round(o_totalprice / 20 * {draw('grant', 60)} / 100, 2) as grant_amount",
-        f"round(o_totalprice / 20 * {draw('schol', 40)} / 100, 2) as scholarship_amount",
-        "round(greatest(0, 20000 - o_totalprice / 20 - abs(c_acctbal)), 2) as unmet_need",
-        f"{draw('work', 5)} = 0 as work_study_flag",
-    )
-    returned = lines.groupBy("l_orderkey").agg(F.max((F.col("l_returnflag") == "R").cast("bigint")).alias("ret"))
-    joined = orders.join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    events = joined.withColumn(
-        "event_type", F.explode(F.array(F.lit("application"), F.lit("acceptance"), F.lit("enrollment")))
-    ).selectExpr(
-        f"{key.format('o_orderkey')} as student_id",
-        "event_type",
-        f"case when {draw('future', 200)} = 0 then date'2037-06-15' else cast(o_orderdate as date) end as event_date",
-        "concat('Fall ', 2019 + pmod(o_orderkey, 3)) as term",
-        f"case when event_type = 'enrollment' then {pick('status', 'full-time', 'part-time')} else 'not_enrolled' end as enrollment_status",
-        "case when event_type = 'enrollment' then coalesce(ret, 0) end as second_year_ret_flag",
-    )
-    shaped = {"demographics": demographics, "academic_records": academic, "financial_aid": aid, "enrollment_events": events}
-    return {
-        name: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema_of(SOURCE_TABLES[name]).fields])
-        for name, df in shaped.items()
-    }
+    "academic_records": f"""
+        select {_digits("l_orderkey", 12)} as student_id,
+               concat('Term ', l_linenumber) as term,
+               201900 + 100 * l_linenumber as term_code,
+               gpa / 12.5e0 as term_gpa,
+               case when supp % 9 > 0 then discount * 40 end as cumulative_gpa,
+               12 + supp % 7 as credits_attempted,
+               8 + supp % 5 as credits_earned,
+               4 + supp % 3 as course_count,
+               concat('Major ', supp % 12) as major,
+               supp % 8 = 0 as major_changed_flag,
+               case when gpa < 18.75e0 then 'suspension' when gpa < 25e0 then 'probation' else 'good' end
+                   as academic_standing,
+               concat('Campus ', supp % 5) as campus
+        from (
+            select l_orderkey, l_linenumber, max(l_quantity) as gpa, max(l_discount) as discount, max(l_suppkey) as supp
+            from {{lineitem}} group by l_orderkey, l_linenumber
+        ) t
+    """,
+    "financial_aid": f"""
+        select {_digits("o_orderkey", 12)} as student_id,
+               cast(o_orderdate as date) as fafsa_filed_date,
+               abs(c_acctbal) * 3 as efc,
+               abs(c_acctbal) * 3 < 6000 as pell_eligible,
+               o_totalprice / 20 as total_aid_amount,
+               o_totalprice / 20 * ({_draw("loan", 100)} / 100e0) as loan_amount,
+               o_totalprice / 20 * ({_draw("grant", 60)} / 100e0) as grant_amount,
+               o_totalprice / 20 * ({_draw("schol", 40)} / 100e0) as scholarship_amount,
+               greatest(0e0, 20000 - o_totalprice / 20 - abs(c_acctbal)) as unmet_need,
+               {_draw("work", 5)} = 0 as work_study_flag
+        from {{orders}} join {{customer}} on o_custkey = c_custkey
+    """,
+    "enrollment_events": f"""
+        select {_digits("o_orderkey", 12)} as student_id,
+               event_type,
+               case when {_draw("future", 200)} = 0 then date '2037-06-15' else cast(o_orderdate as date) end as event_date,
+               concat('Fall ', 2019 + o_orderkey % 3) as term,
+               case when event_type <> 'enrollment' then 'not_enrolled'
+                    else {_pick("status", "full-time", "part-time")} end as enrollment_status,
+               case when event_type = 'enrollment' then coalesce(returned, 0) end as second_year_ret_flag
+        from (
+            select o_orderkey, o_orderdate, returned, explode(array('application', 'acceptance', 'enrollment')) as event_type
+            from {{orders}}
+            left join (select l_orderkey, max(case when l_returnflag = 'R' then 1 else 0 end) as returned
+                       from {{lineitem}} group by l_orderkey) r on o_orderkey = l_orderkey
+        ) t
+    """,
+}
+
+
+def derived_tables(spark, sf_dir: str) -> dict[str, DataFrame]:
+    """The four student tables in the shape of their schemas, computed from the shared tables."""
+    given = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem", "customer")}
+    out = {}
+    for name, sql in DERIVED.items():
+        shaped = spark.sql(sql, **{n: df for n, df in given.items() if "{" + n + "}" in sql})
+        fields = schema_of(SOURCE_TABLES[name]).fields
+        out[name] = shaped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    return out

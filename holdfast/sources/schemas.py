@@ -57,8 +57,23 @@ SOURCE_TABLES = {
 }
 
 
-def schema_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """``name type [not null], ...`` to a StructType; unlike Spark's own DDL reader it needs no session."""
+    fields = []
+    for column in columns.split(","):
+        name, kind, *rest = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], rest != ["not", "null"]))
+    return T.StructType(fields)
 
 
 def struct_type(entries: list[dict]) -> T.StructType:

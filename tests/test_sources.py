@@ -24,7 +24,7 @@ def test_declared_schemas():
 
 def test_parquet_csv_and_absent_tables(spark, tmp_path):
     ddl = {"one": "k string, x double", "two": "k string, x double", "three": "k string"}
-    df = spark.createDataFrame([("a", 1.5), ("b", float("nan"))], ddl["one"])
+    df = spark.createDataFrame([("a", 1.5), ("b", float("nan"))], schemas.schema_of(ddl["one"]))
     tables.write_parquet(df, f"{tmp_path}/one.parquet")
     tables.write_csv(df.where("k = 'a'"), f"{tmp_path}/two.csv")
     found = tables.read_source_tables(spark, str(tmp_path), ddl)
