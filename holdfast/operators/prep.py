@@ -141,29 +141,33 @@ def harmonise_report(df: DataFrame, types: dict[str, str] = STUDENT_TYPES) -> Da
     )
 
 
+def _overview(df: DataFrame, columns: Sequence[str], texts: Sequence[str]) -> tuple[list[str], dict[str, int]]:
+    """Constant columns and rough level counts of the text columns; one job, one row back."""
+    aggs = [F.coalesce(F.min(col(c)) == F.max(col(c)), F.lit(True)).alias(f"c{i}") for i, c in enumerate(columns)]
+    aggs += [F.approx_count_distinct(col(c)).alias(f"t{i}") for i, c in enumerate(texts)]
+    if not aggs:
+        return [], {}
+    row = df.agg(*aggs).first()
+    constants = [c for i, c in enumerate(columns) if row[f"c{i}"]]
+    return constants, {c: row[f"t{i}"] for i, c in enumerate(texts)}
+
+
 def constant_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Columns with at most one distinct non-null value.  One job; one row comes back."""
-    if not columns:
-        return []
-    row = df.agg(
-        *[
-            F.coalesce(F.min(col(c)) == F.max(col(c)), F.lit(True)).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    return [c for i, c in enumerate(columns) if row[i]]
-
-
-def categories(df: DataFrame, columns: Sequence[str], limit: int = 50) -> dict[str, list[str]]:
+    """Columns with at most one distinct non-null value."""
+    return _overview(df, columns, [])[0]
+
+
+def categories(
+    df: DataFrame, columns: Sequence[str], limit: int = 50, rough: dict[str, int] | None = None
+) -> dict[str, list[str]]:
     """Sorted levels of the string columns that have at most ``limit`` of them.
 
-    An approximate count first sorts out columns far above the limit, so that only candidates are
-    counted exactly; at most ``limit`` levels per column reach the driver.
+    A rough count (``rough``, or counted here) first sorts out columns far above the limit, so that
+    only a few times ``limit`` levels per column can reach the driver; those are counted exactly.
     """
-    if not columns:
-        return {}
-    guess = df.agg(*[F.approx_count_distinct(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    candidates = [c for i, c in enumerate(columns) if guess[i] <= 2 * limit + 10]
+    if rough is None:
+        rough = _overview(df, [], columns)[1]
+    candidates = [c for c in columns if rough[c] <= 2 * limit + 10]
     if not candidates:
         return {}
     levels = (
@@ -173,13 +177,10 @@ def categories(df: DataFrame, columns: Sequence[str], limit: int = 50) -> dict[s
         .where("level is not null")
         .distinct()
     )
-    counts = levels.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    fitting = {r["column"] for r in counts.collect() if r["n"] <= limit}
-    found: dict[str, list[str]] = {c: [] for c in columns if c in fitting}
-    if found:
-        for r in levels.where(F.col("column").isin(list(found))).collect():
-            found[r["column"]].append(r["level"])
-    return {c: sorted(v) for c, v in found.items()}
+    found: dict[str, list[str]] = {c: [] for c in candidates}
+    for r in levels.collect():
+        found[r["column"]].append(r["level"])
+    return {c: sorted(v) for c, v in found.items() if len(v) <= limit}
 
 
 def dummy_names(levels: dict[str, list[str]], taken: Sequence[str]) -> dict[tuple[str, str], str]:
@@ -223,13 +224,13 @@ def clean(
     initial = list(df.columns)
     fate = {c: "skipped" for c in skip if c in df.columns and c != entity}
     df = df.drop(*fate)
-    constants = constant_columns(
-        df, [c for c in df.columns if c not in keep_constant and c not in (target, entity)]
-    )
+    texts = [c for c in string_columns(df) if c != entity]
+    checked = [c for c in df.columns if c not in keep_constant and c not in (target, entity)]
+    constants, rough = _overview(df, checked, texts if encode else [])
     fate |= {c: "constant" for c in constants}
     df = df.drop(*constants)
     if encode:
-        levels = categories(df, [c for c in string_columns(df) if c != entity], max_categories)
+        levels = categories(df, [c for c in texts if c not in constants], max_categories, rough)
         df = one_hot(df, levels)
         fate |= {c: f"encoded:{len(v)}" for c, v in levels.items()}
     if drop_strings:

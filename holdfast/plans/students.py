@@ -71,9 +71,9 @@ def prepare(
 
 
 def _draw(name: str, n: int) -> str:
-    """Number in 0..n-1 from the order key: arithmetic on a multiplier that differs by name."""
+    """Number in 0..n-1 from the order key: two rounds of multiplying and wrapping, differing by name."""
     seed = sum((i + 1) * ord(c) for i, c in enumerate(name))
-    return f"((o_orderkey * {1009 + 2 * seed} + {seed * 7919}) % 1000003 % {n})"
+    return f"((o_orderkey * {100003 + 2 * seed} + {seed * 7919}) % 1000003 * {7001 + 2 * seed} % 999983 % {n})"
 
 
 def _pick(name: str, *values: str) -> str:
