@@ -79,7 +79,8 @@ def _earlier_buckets(keys: Sequence[str]):
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """All rows with ``cum_<sum>``: each sum over the key's rows up to the current one in order.
+    """All rows with ``cum_<sum>``, each sum over the key's rows up to the current one in order, and
+    ``all_<sum>``, the sum over all the key's rows.
 
     The first order column must cast to a number (numbers, dates and timestamps do).
     """
@@ -88,10 +89,16 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
     before = _earlier_buckets(by).rowsBetween(Window.unboundedPreceding, -1)
+    whole = _earlier_buckets(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
         placed.groupBy(*by, "_bucket")
         .agg(*[F.sum(c).alias(c) for c in sums])
-        .select(*by, "_bucket", *[F.sum(c).over(before).alias(f"_off_{c}") for c in sums])
+        .select(
+            *by,
+            "_bucket",
+            *[F.sum(c).over(before).alias(f"_off_{c}") for c in sums],
+            *[F.sum(c).over(whole).alias(f"all_{c}") for c in sums],
+        )
     )
     zero = {c: F.lit(0).cast(t) for c, t in placed.select(*[F.sum(c).alias(c) for c in sums]).dtypes}
     return _add_offsets(local, offsets, by).select(
@@ -100,6 +107,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
             (F.coalesce(f"_in_{c}", zero[c]) + F.coalesce(f"_off_{c}", zero[c])).alias(f"cum_{c}")
             for c in sums
         ],
+        *[f"all_{c}" for c in sums],
     )
 
 
@@ -117,7 +125,8 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
-    """One row per (keys, order value): each sum column, and ``cum_<sum>`` up to and including it."""
+    """One row per (keys, order value): each sum column, ``cum_<sum>`` up to and including it and
+    ``all_<sum>`` of the key."""
     collapsed = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in sums])
     return running_sums(collapsed, keys, [order], sums)
 
@@ -131,15 +140,9 @@ def exact_quantiles(
         *keys, F.col(value).cast("double").alias("_v"), F.lit(1).cast("bigint").alias("_n")
     )
     ranked = running_totals(counted, keys, "_v", ["_n"])
-    totals = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    if keys:
-        right = totals.select(F.struct(*keys).alias("_q"), "_total")
-        ranked = ranked.join(right, F.struct(*keys) == F.col("_q"))
-    else:
-        ranked = ranked.withColumn("_total", totals.scalar())
     picks = []
     for name, p in probabilities.items():
-        at = (F.col("_total") - 1) * F.lit(p)
+        at = (F.col("all__n") - 1) * F.lit(p)
         low = F.min(F.when(F.col("cum__n") > F.floor(at), F.col("_v")))
         high = F.min(F.when(F.col("cum__n") > F.ceil(at), F.col("_v")))
         share = F.max(at - F.floor(at))

@@ -202,14 +202,13 @@ def distribution_skew(
         .groupBy("feature", "value")
         .agg(F.sum("train").alias("train"), F.sum("serve").alias("serve"))
     )
-    totals = counted.groupBy("feature").agg(F.sum("train").alias("n"), F.sum("serve").alias("m"))
-    enough = totals.where((F.col("n") >= MIN_VALUES) & (F.col("m") >= MIN_VALUES))
     running = running_sums(counted, ["feature"], ["value"], ["train", "serve"])
-    gap = F.abs(F.col("cum_train") / F.col("n") - F.col("cum_serve") / F.col("m"))
+    n, m = F.col("all_train"), F.col("all_serve")
+    gap = F.abs(F.col("cum_train") / n - F.col("cum_serve") / m)
     return (
-        running.join(F.broadcast(enough), "feature")  # one row per feature
-        .groupBy("feature", "n", "m")
-        .agg(F.max(gap).alias("ks"))
+        running.where((n >= MIN_VALUES) & (m >= MIN_VALUES))
+        .groupBy("feature")
+        .agg(F.max(gap).alias("ks"), F.max(n).alias("n"), F.max(m).alias("m"))
         .select(
             "feature",
             F.round("ks", 6).alias("ks_statistic"),

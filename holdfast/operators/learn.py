@@ -43,7 +43,8 @@ def examples(df: DataFrame, target: str, entity: str, features: Sequence[str] |
     if isinstance(df.schema[entity].dataType, T.IntegralType):
         numbered, number = df, col(entity).cast("bigint")
     else:
-        numbered, number = dense_index(materialise(df), "_id"), F.col("_id")
+        needed = df.select(col(entity), col(target), *[col(c) for c in features])
+        numbered, number = dense_index(materialise(needed), "_id"), F.col("_id")
     return numbered.select(
         number.alias("id"),
         col(entity).alias("entity"),
@@ -217,7 +218,7 @@ def train(
         status, rows = "ok", training.select("id", "vec", "label")
         if balance is not None:
             try:
-                rows = balance(rows)
+                rows = materialise(balance(rows))
             except resample.ResampleError as problem:
                 status = f"skipped: {problem}"
         ready = spread(with_vectors(rows).select("features", "label")).persist()

@@ -55,14 +55,7 @@ def _counts(df: DataFrame, personal: dict[str, str], text: Sequence[str], patter
     return df.agg(*aggs), personal, text
 
 
-def findings(
-    df: DataFrame,
-    personal: dict[str, str] = PERSONAL_COLUMNS,
-    text: Sequence[str] = TEXT_COLUMNS,
-    patterns: dict[str, str] = PATTERNS,
-) -> DataFrame:
-    """Positive findings per info type; free-text hits are keyed ``<TYPE>_in_<column>``."""
-    counts, personal, text = _counts(df, personal, text, patterns)
+def _findings(counts: DataFrame, personal: dict[str, str], text: Sequence[str], patterns: dict[str, str]) -> DataFrame:
     rows = [
         F.struct(F.lit(info).alias("info_type"), F.col(f"p{i}").alias("findings"))
         for i, info in enumerate(personal.values())
@@ -80,11 +73,7 @@ def findings(
     )
 
 
-def text_density(
-    df: DataFrame, text: Sequence[str] = TEXT_COLUMNS, patterns: dict[str, str] = PATTERNS, threshold: float = 0.05
-) -> DataFrame:
-    """Pattern hits over non-null text cells (a cell counts once per pattern) and the blocking flag."""
-    counts, _, text = _counts(df, {}, text, patterns)
+def _density(counts: DataFrame, text: Sequence[str], patterns: dict[str, str], threshold: float) -> DataFrame:
     hits, cells = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
     for j in range(len(text)):
         cells = cells + F.col(f"t{j}")
@@ -100,6 +89,24 @@ def text_density(
     )
 
 
+def findings(
+    df: DataFrame,
+    personal: dict[str, str] = PERSONAL_COLUMNS,
+    text: Sequence[str] = TEXT_COLUMNS,
+    patterns: dict[str, str] = PATTERNS,
+) -> DataFrame:
+    """Positive findings per info type; free-text hits are keyed ``<TYPE>_in_<column>``."""
+    return _findings(*_counts(df, personal, text, patterns), patterns)
+
+
+def text_density(
+    df: DataFrame, text: Sequence[str] = TEXT_COLUMNS, patterns: dict[str, str] = PATTERNS, threshold: float = 0.05
+) -> DataFrame:
+    """Pattern hits over non-null text cells (a cell counts once per pattern) and the blocking flag."""
+    counts, _, text = _counts(df, {}, text, patterns)
+    return _density(counts, text, patterns, threshold)
+
+
 def redact_columns(
     df: DataFrame, mode: str = "replace", personal: dict[str, str] = PERSONAL_COLUMNS
 ) -> DataFrame:
@@ -135,12 +142,15 @@ def scan(
     patterns: dict[str, str] = PATTERNS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Redacted frame, findings and density; raises before anything is written when too dense."""
-    density = text_density(df, text, patterns, threshold)
+    counts, present, scanned = _counts(df, personal, text, patterns)
+    # the texts are searched once; both reports are made from that one row of counts
+    counted = df.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    density = _density(counted, scanned, patterns, threshold)
     row = density.first()
     if row["blocked"]:
         raise ValueError(f"personal data density {row['density']} exceeds the threshold {threshold}")
     redacted = redact_text(redact_columns(df, mode, personal), text, patterns)
-    return redacted, findings(df, personal, text, patterns), density
+    return redacted, _findings(counted, present, scanned, patterns), density
 
 
 def density_report(df: DataFrame) -> DataFrame:

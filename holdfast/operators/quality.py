@@ -207,34 +207,24 @@ def anomalies(
     floor: float = 0.10,
 ) -> DataFrame:
     """All findings of the checks: (type, column, severity, count)."""
-    nulls = null_report(df).select(
-        F.lit("null_values").alias("type"),
-        "column",
-        F.when(F.col("null_pct") < warning_below, "WARNING").otherwise("ERROR").alias("severity"),
-        F.col("null_count").alias("count"),
-    )
-    out = nulls
-    if any(c in df.columns for c in ranges):
-        out = out.unionByName(
-            range_violations(df, ranges)
-            .where("violations > 0")
-            .select(
-                F.lit("out_of_range").alias("type"),
-                "column",
-                F.lit("ERROR").alias("severity"),
-                F.col("violations").alias("count"),
+    ranges = {c: r for c, r in ranges.items() if c in df.columns}
+    checks = [("null_values", c, col(c).isNull()) for c in df.columns]
+    checks += [("out_of_range", c, outside(col(c), lo, hi)) for c, (lo, hi) in ranges.items()]
+    checks += [("future_date", c, in_future(col(c), as_of)) for c in date_like_columns(df.columns)]
+    # all of them in one pass over the rows
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(test).alias(f"k{i}") for i, (_, _, test) in enumerate(checks)])
+    rows = []
+    for i, (kind, c, _) in enumerate(checks):
+        severity = F.lit("ERROR")
+        if kind == "null_values":
+            rate = F.round(F.try_divide(F.col(f"k{i}"), F.col("n")), 4)
+            severity = F.when(rate < warning_below, "WARNING").otherwise("ERROR")
+        rows.append(
+            F.struct(
+                F.lit(kind).alias("type"), F.lit(c).alias("column"), severity.alias("severity"), F.col(f"k{i}").alias("count")
             )
         )
-    out = out.unionByName(
-        future_dates(df, as_of)
-        .where("future_count > 0")
-        .select(
-            F.lit("future_date").alias("type"),
-            "column",
-            F.lit("ERROR").alias("severity"),
-            F.col("future_count").alias("count"),
-        )
-    )
+    out = counts.select(F.inline(F.array(*rows))).where(F.col("count") > 0)
     if target is not None and target in df.columns:
         out = out.unionByName(
             class_balance(df, target, floor)

@@ -67,8 +67,8 @@ def _features_sql():
             f"select student_id, cohort_year, {bins}, {', '.join(shown)} from filled")
 
 
-def _run(spark, sf):
-    return students.prepare(students.derived_tables(spark, sf), as_of=F.lit(AS_OF))
+def _run(spark, sf, **options):
+    return students.prepare(students.derived_tables(spark, sf), as_of=F.lit(AS_OF), **options)
 
 
 def _rounded(df):
@@ -95,7 +95,7 @@ def student_reduced_frame(spark, sf):
 @query("student_feature_export", _features_sql())
 def student_feature_export(spark, sf):
     """Merge, redact, harmonise, clean, derive, export."""
-    return _rounded(_run(spark, sf).frames["export"])
+    return _rounded(_run(spark, sf, with_reduction=False).frames["export"])
 
 
 @query("student_stage_report")

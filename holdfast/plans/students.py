@@ -34,6 +34,7 @@ def prepare(
     vif_threshold: float = 10.0,
     folder: str | None = None,
     exact_profile: bool = True,
+    with_reduction: bool = True,
 ) -> Prepared:
     """Merge, validate, redact, harmonise, clean, derive features, export, reduce.
 
@@ -63,10 +64,10 @@ def prepare(
     out.frames["features"] = features
 
     out.frames["export"] = prep.export_features(features, entity)
-    reduced, out.reports["reduce"] = reduce.reduce_dimensions(
-        features, target, entity, correlation_threshold, vif_threshold=vif_threshold
-    )
-    out.frames["reduced"] = reduced
+    if with_reduction:
+        out.frames["reduced"], out.reports["reduce"] = reduce.reduce_dimensions(
+            features, target, entity, correlation_threshold, vif_threshold=vif_threshold
+        )
     return out
 
 
