@@ -73,16 +73,17 @@ def _histogram(both: DataFrame, features: Sequence[str], stats: DataFrame) -> Da
     known = both.withColumn("_s", stats.scalar())
     cells = [
         F.struct(
-            F.lit(c).alias("feature"),
-            _bin(F.col(f"_{i}"), F.col("_s")[i]["low"], F.col("_s")[i]["width"]).alias("bin"),
+            F.lit(i).alias("f"), _bin(F.col(f"_{i}"), F.col("_s")[i]["low"], F.col("_s")[i]["width"]).alias("bin")
         )
-        for i, c in enumerate(features)
+        for i in range(len(features))
     ]
+    names = F.array(*[F.lit(c) for c in features])
     return (
         known.select("_train", F.inline(F.array(*cells)))
         .where("bin is not null")
-        .groupBy("feature", "bin")
+        .groupBy("f", "bin")
         .agg(F.count_if("_train").alias("train"), F.count_if(~F.col("_train")).alias("serve"))
+        .select(F.get(names, F.col("f")).alias("feature"), "bin", "train", "serve")
     )
 
 
@@ -186,31 +187,25 @@ def distribution_skew(
     """Two-sample Kolmogorov-Smirnov statistic, asymptotic p-value and flag per feature; ``first``
     limits the report to that many features in name order."""
     features = list(features or common_features(train, serve, ignore))[:first]
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"_{i}").alias("value")) for i, c in enumerate(features)
-    ]
+    # features travel as numbers: one row per feature and distinct value is shuffled
+    cells = [F.struct(F.lit(i).alias("f"), F.col(f"_{i}").alias("value")) for i in range(len(features))]
     counted = (
         _both(train, serve, features)
         .select("_train", F.inline(F.array(*cells)))
         .where("value is not null")
-        .select(
-            "feature",
-            "value",
-            F.col("_train").cast("bigint").alias("train"),
-            (~F.col("_train")).cast("bigint").alias("serve"),
-        )
-        .groupBy("feature", "value")
-        .agg(F.sum("train").alias("train"), F.sum("serve").alias("serve"))
+        .groupBy("f", "value")
+        .agg(F.count_if("_train").alias("train"), F.count_if(~F.col("_train")).alias("serve"))
     )
-    running = running_sums(counted, ["feature"], ["value"], ["train", "serve"])
+    running = running_sums(counted, ["f"], ["value"], ["train", "serve"])
     n, m = F.col("all_train"), F.col("all_serve")
     gap = F.abs(F.col("cum_train") / n - F.col("cum_serve") / m)
+    names = F.array(*[F.lit(c) for c in features])
     return (
         running.where((n >= MIN_VALUES) & (m >= MIN_VALUES))
-        .groupBy("feature")
+        .groupBy("f")
         .agg(F.max(gap).alias("ks"), F.max(n).alias("n"), F.max(m).alias("m"))
         .select(
-            "feature",
+            F.get(names, F.col("f")).alias("feature"),
             F.round("ks", 6).alias("ks_statistic"),
             F.round(kolmogorov_tail(F.col("ks"), F.col("n"), F.col("m")), 6).alias("ks_pvalue"),
             (F.col("ks") > threshold).alias("skewed"),

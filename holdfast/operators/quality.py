@@ -45,14 +45,17 @@ def date_like_columns(columns: Sequence[str]) -> list[str]:
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact non-null distinct count per column, in one pass: (column, value) pairs are
     de-duplicated before the shuffle and counted after it."""
-    pairs = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]))
+    cells = F.array(
+        *[F.struct(F.lit(i).alias("i"), col(c).cast("string").alias("value")) for i, c in enumerate(columns)]
     )
+    names = F.array(*[F.lit(c) for c in columns])
     return (
-        pairs.where("value is not null")
+        df.select(F.inline(cells))
+        .where("value is not null")
         .distinct()
-        .groupBy("column")
+        .groupBy("i")
         .agg(F.count(F.lit(1)).alias("distinct_count"))
+        .select(F.get(names, F.col("i")).alias("column"), "distinct_count")
     )
 
 
@@ -76,26 +79,32 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
             F.array(
                 *[
                     F.struct(
-                        F.lit(c).alias("column"),
-                        F.lit(types[c]).alias("dtype"),
+                        F.lit(i).alias("i"),
                         col(c).isNull().alias("missing"),
                         number(c).alias("value"),
                         *([] if exact else [F.xxhash64(col(c)).alias("hash")]),
                     )
-                    for c in columns
+                    for i, c in enumerate(columns)
                 ]
             )
         )
     )
     sketch = [] if exact else [F.approx_count_distinct(F.when(~F.col("missing"), F.col("hash"))).alias("distinct_count")]
-    profile = cells.groupBy("column", "dtype").agg(
-        F.count_if("missing").alias("null_count"),
-        F.round(F.avg(F.col("missing").cast("double")), 4).alias("null_pct"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.round(F.avg("value"), 4).alias("mean"),
-        F.round(F.stddev_samp("value"), 4).alias("std"),
-        *sketch,
+    known = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype")) for c in columns])
+    profile = (
+        cells.groupBy("i")
+        .agg(
+            F.count_if("missing").alias("null_count"),
+            F.round(F.avg(F.col("missing").cast("double")), 4).alias("null_pct"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.round(F.avg("value"), 4).alias("mean"),
+            F.round(F.stddev_samp("value"), 4).alias("std"),
+            *sketch,
+        )
+        .withColumn("_c", F.get(known, F.col("i")))
+        .select("_c.column", "_c.dtype", "*")
+        .drop("i", "_c")
     )
     if not exact:
         return profile
