@@ -311,6 +311,30 @@ def export_features(
     )
 
 
+def stage_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: rows and columns before and after a stage, and the columns it added and dropped."""
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    listed = lambda names: F.array(*[F.lit(c) for c in names]).cast("array<string>")
+    one = after.sparkSession.range(1)
+    return one.select(
+        count(before).alias("input_rows"),
+        F.lit(len(before.columns)).alias("input_columns"),
+        count(after).alias("output_rows"),
+        F.lit(len(after.columns)).alias("output_columns"),
+        listed([c for c in after.columns if c not in before.columns]).alias("added"),
+        listed([c for c in before.columns if c not in after.columns]).alias("dropped"),
+    )
+
+
+def export_report(df: DataFrame, exported: DataFrame, features: Sequence[str] = EXPORT_FEATURES) -> DataFrame:
+    """One row: entities and features exported, and the listed features that were missing."""
+    return exported.agg(F.count(F.lit(1)).alias("entities_synced")).select(
+        "entities_synced",
+        F.lit(len(exported.columns) - 1).alias("features_synced"),
+        F.array(*[F.lit(c) for c in missing_features(df, features)]).cast("array<string>").alias("features_missing"),
+    )
+
+
 def missing_features(df: DataFrame, features: Sequence[str] = EXPORT_FEATURES) -> list[str]:
     return [c for c in features if c not in df.columns]
 

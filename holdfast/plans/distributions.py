@@ -10,23 +10,28 @@ from holdfast.plans.registry import query, table
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "shifted"]
 
 
-def halves(spark, sf):
-    """Line items shipped before 1998 (training) and after (serving), one measure shifted later."""
-    lines = table(spark, sf, "lineitem").withColumn(
-        "shifted",
-        F.when(F.col("l_shipdate") < "1998-01-01", F.col("l_quantity")).otherwise(F.col("l_quantity") * 1.4 + 11),
-    )
-    frame = lines.select(
+def _measured(lines):
+    """Measures of line items, one of them shifted from 1998 on."""
+    early = F.col("l_shipdate") < "1998-01-01"
+    shifted = F.when(early, F.col("l_quantity")).otherwise(F.col("l_quantity") * 1.4 + 11)
+    return lines.withColumn("shifted", shifted).select(
         *FEATURES,
         F.lit(1.5).alias("steady"),
         (F.col("l_returnflag") == "R").cast("int").alias("target"),
         (F.col("l_linestatus") == "F").cast("int").alias("predicted_class"),
         "l_shipdate",
     )
-    return (
-        frame.where(F.col("l_shipdate") < "1998-01-01").drop("l_shipdate", "predicted_class"),
-        frame.where(F.col("l_shipdate") >= "1998-01-01").drop("l_shipdate", "target"),
-    )
+
+
+def serving_half(lines):
+    return _measured(lines).where(F.col("l_shipdate") >= "1998-01-01").drop("l_shipdate", "target")
+
+
+def halves(spark, sf):
+    """Line items shipped before 1998 (training) and after (serving)."""
+    lines = table(spark, sf, "lineitem")
+    train = _measured(lines).where(F.col("l_shipdate") < "1998-01-01").drop("l_shipdate", "predicted_class")
+    return train, serving_half(lines)
 
 
 _COLUMNS = [*FEATURES, "steady"]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from holdfast.plans import distributions
 from holdfast.plans.registry import query, table
+from holdfast.session import fresh_path
 from holdfast.sources.messages import encode
 from holdfast.streaming import alerts, jobs, windows
 
@@ -200,3 +202,52 @@ def stream_retrain_decision(spark, sf):
     once = alerts.deduplicate(sent.drop("delivery", "ts"))
     decided = alerts.retrain_decisions(alerts.decode_alerts(once)).select("message_id", "action")
     return jobs.drain_rows(decided, "retrain-decision")
+
+
+@query(
+    "stream_drift_check",
+    "with " + distributions.DRIFT_SQL + """
+    select count(*) filter (drifted) as drifted_features, (select js > 0.1 from class_js) as prediction_drifted,
+           case when count(*) filter (drifted) > 3 or (select js > 0.1 from class_js) then 'retrain' else 'monitor' end as action
+    from report
+    """,
+)
+def stream_drift_check(spark, sf):
+    """Serving rows as a stream: every micro-batch is compared with the training profile, its alert is
+    sent as a message, and the message is decoded and decided."""
+    profile, _ = distributions.halves(spark, sf)
+    lines = table(spark, sf, "lineitem")
+    stream = jobs.file_stream(spark, f"{sf}/lineitem*.parquet", lines.schema)
+    sent, checkpoint = fresh_path(spark, "drift-alerts"), fresh_path(spark, "drift-checkpoint")
+    jobs.check_batches(distributions.serving_half(stream), profile, "target", sent, checkpoint)
+    arrived = spark.read.parquet(sent).select("data")
+    return alerts.retrain_decisions(alerts.decode_alerts(arrived))
+
+
+@query(
+    "stream_cache_lookup",
+    """
+    with e as (
+        select event_id, user_id as entity, ts, event_type = 'purchase' as answer, (value > 50)::int as class from events
+    ),
+    held as (
+        select *, last_value(case when answer then ts end ignore nulls) over w as stored,
+               last_value(case when answer then class end ignore nulls) over w as held_class
+        from e window w as (partition by entity order by ts, event_id rows unbounded preceding)
+    )
+    select entity, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, coalesce(ts - stored < interval 6 hours, false) as hit,
+           case when ts - stored < interval 6 hours then held_class end as predicted_class
+    from held where not answer
+    """,
+)
+def stream_cache_lookup(spark, sf):
+    """Purchases store an answer for their user, every other event asks for it; answers live six hours."""
+    bought = F.col("event_type") == "purchase"
+    rows = _event_stream(spark, sf).select(
+        F.col("user_id").alias("entity"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(bought, (F.col("value") > 50).cast("int")).alias("predicted_class"),
+        F.when(bought, F.col("value") / 500).alias("probability"),
+    )
+    looked = jobs.with_state_store(spark, lambda: jobs.drain_rows(jobs.cache_stream(rows, 21600), "lookups"))
+    return looked.select("entity", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "hit", "predicted_class")

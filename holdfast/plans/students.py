@@ -63,7 +63,10 @@ def prepare(
     features = stage(prep.engineer_features(cleaned), "06_features", folder)
     out.frames["features"] = features
 
+    out.reports["features"] = prep.stage_report(cleaned, features)
+
     out.frames["export"] = prep.export_features(features, entity)
+    out.reports["export"] = prep.export_report(features, out.frames["export"])
     if with_reduction:
         out.frames["reduced"], out.reports["reduce"] = reduce.reduce_dimensions(
             features, target, entity, correlation_threshold, vif_threshold=vif_threshold

@@ -165,6 +165,23 @@ class AnswerCache(StatefulProcessor):
 LOOKUPS = "entity bigint, ts timestamp, hit boolean, predicted_class int, probability double"
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_state_store(spark: SparkSession, run: Callable):
+    """Run with the state store that keyed state needs, then put the session's own choice back."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return run()
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def cache_stream(rows: DataFrame, ttl_seconds: int = 3600, delay: str = "10 minutes") -> DataFrame:
     """Answer the requests of a mixed stream of answers and requests from keyed state.
 

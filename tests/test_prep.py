@@ -102,3 +102,12 @@ def test_standing_and_change(spark):
     assert [(r["average"], r["standing"]) for r in got.collect()] == [(1.0, "suspension"), (1.75, "probation"), (2.5, "good"), (1.0, "suspension")]
     changed = prep.changed_from_previous(df, "k", ["t"], "m").orderBy("k", "t")
     assert [r["changed"] for r in changed.collect()] == [False, False, True, False]
+
+
+def test_stage_and_export_reports(spark):
+    before = spark.createDataFrame([("a", 2.0), ("a", 1.0)], "student_id string, hs_gpa double")
+    after = before.withColumn("sat_score", F.lit(1.0)).drop("hs_gpa").where("student_id = 'a'").limit(1)
+    row = prep.stage_report(before, after).first()
+    assert (row["input_rows"], row["output_rows"], row["added"], row["dropped"]) == (2, 1, ["sat_score"], ["hs_gpa"])
+    got = prep.export_report(before, prep.export_features(before), ["hs_gpa", "efc"]).first()
+    assert (got["entities_synced"], got["features_synced"], got["features_missing"]) == (1, 1, ["efc"])
