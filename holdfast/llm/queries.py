@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import secrets
+from holdfast.llm import decontaminate, secrets, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a published tokenizer file on this machine; executors hold the same folder."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _secrets_sql() -> str:
     parts, spans = [], []
     for rank, (kind, (pattern, group, least)) in enumerate(secrets.RULES.items()):
@@ -58,3 +65,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"CAST(size(filter(found, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in secrets.RULES]
     told = found.select(F.col("path").alias("doc_id"), "blob", *counts, secrets.joined(F.col("found")).alias("spans"))
     return told.withColumn("base_sha256", F.sha2("spans", 256))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document by the compiled transducer."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op3_benchmark_overlap")
+def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents repeat, with the place of the best diagonal."""
+    return decontaminate.repeated_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
