@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, secrets, token_counts
+from holdfast.llm import decontaminate, rans, secrets, sentencepieces, token_counts
+from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents repeat, with the place of the best diagonal."""
     return decontaminate.repeated_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the lattice, and whether decoding restores the text."""
+    return sentencepieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op5_token_id_files")
+def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entropy-coded id files of all documents, written and read back."""
+    folder = fresh_path(spark, "token-ids")
+    rans.write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), folder)
+    return rans.read_ids(spark, folder).drop("ids")
