@@ -31,9 +31,9 @@ def slabs(texts: list[str], limit: int = SLAB) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], schema: str, text: str = "text") -> DataFrame:
-    """Every column of ``df`` but ``text``, and the columns of ``schema`` that ``work`` makes of the texts."""
-    kept = [f for f in df.schema.fields if f.name != text]
+def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], schema: str, text: str = "text", keep: bool = False) -> DataFrame:
+    """Every column of ``df`` (``text`` only if kept), and the columns of ``schema`` that ``work`` makes of the texts."""
+    kept = [f for f in df.schema.fields if keep or f.name != text]
     added = spark_schema(schema)
     out = type(df.schema)(kept + added.fields)
     names = [f.name for f in kept]

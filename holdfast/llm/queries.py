@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, rans, secrets, sentencepieces, token_counts
+from holdfast.llm import decontaminate, rans, secrets, sentencepieces, token_counts, toxicity
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,13 @@ def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-ids")
     rans.write_ids(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), folder)
     return rans.read_ids(spark, folder).drop("ids")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and toxic spans of all documents; labels of held-out documents are not read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model).drop("text")
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, "spans")
