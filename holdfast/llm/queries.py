@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, rans, secrets, sentencepieces, token_counts, toxicity
+from holdfast.llm import decontaminate, near_text, rans, secrets, sentencepieces, token_counts, toxicity
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(docs, model).drop("text")
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted, "spans")
+
+
+@query("op6_near_copies")
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return near_text.near_copies(table(spark, sf_dir, "documents"))
