@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import known, stage, text_or_empty
+from holdfast.llm.common import join_small, stage, text_or_empty
 
 #: Offsets that count, six of eight or nine words each.
 MASKS: tuple[tuple[int, ...], ...] = ((0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 7, 8), (0, 1, 4, 6, 7, 8))
@@ -41,19 +41,17 @@ def _seeds(words: str, masks: Sequence[tuple[int, ...]]) -> Column:
     return F.expr(f"array({', '.join(one)})")
 
 
-def _windows(df: DataFrame, words: str, masks: Sequence[tuple[int, ...]], keep: Sequence[str]) -> DataFrame:
-    """A row per position and mask that fits: the kept columns, at, mask and seed."""
-    placed = df.where(F.size(words) > 0).select(*keep, F.explode(F.expr(f"sequence(0, size({words}) - 1)")).alias("at"))
-    return placed.select(*keep, "at", F.posexplode(_seeds(words, masks)).alias("mask", "seed")).where(F.col("seed").isNotNull())
+def _windows(df: DataFrame, words: str, masks: Sequence[tuple[int, ...]], keep: Sequence[str], block: int = 256) -> DataFrame:
+    """A row per position and mask that fits: the kept columns, at, mask and seed.
 
-
-def _first_of_run(masks: Sequence[tuple[int, ...]]) -> Column:
-    """Whether the same mask does not already hit one position earlier on this diagonal."""
-    cases = []
-    for number, mask in enumerate(masks):
-        equal = " AND ".join(f"words[at - 1 + {o}] = item_words[item_at - 1 + {o}]" for o in mask)
-        cases.append(f"WHEN {number} THEN NOT ({equal})")
-    return F.expr(f"at = 0 OR item_at = 0 OR CASE mask {' '.join(cases)} END")
+    Long word lists are first cut into overlapping blocks, so a row never carries more than a block.
+    """
+    span = max(m[-1] for m in masks) + 1
+    cut = f"transform(sequence(0, size({words}) - 1, {block}), s -> struct(s AS base, slice({words}, s + 1, {block + span - 1}) AS part))"
+    parts = df.where(F.size(words) > 0).select(*keep, F.explode(F.expr(cut)).alias("cut")).select(*keep, "cut.base", "cut.part")
+    placed = parts.select(*keep, "base", "part", F.explode(F.expr(f"sequence(0, least({block}, size(part)) - 1)")).alias("at"))
+    told = placed.select(*keep, (F.col("base") + F.col("at")).alias("at"), F.posexplode(_seeds("part", masks)).alias("mask", "seed"))
+    return told.where(F.col("seed").isNotNull())
 
 
 def _compared(hits: DataFrame, share: float, long_run: int, span: int) -> DataFrame:
@@ -82,8 +80,9 @@ def repeated_items(
     """doc_id, item_id, start (word position of the item in the text), matched, item_length, run_score:
     the best diagonal of each repeated item in each document.
 
-    Up to ``broadcast_rows`` seeds of items are broadcast and the texts are never shuffled. Beyond that
-    the seeds of the texts are shuffled as narrow rows, and only documents with hits meet the items again.
+    Seeds are narrow rows. Up to ``broadcast_rows`` seeds of items are broadcast, so those of the texts are
+    looked up where they arise; beyond that they are shuffled. Only documents with hits are read again
+    and compared with the items; the hits are broadcast to them up to the same bound.
     """
     span = max(m[-1] for m in masks) + 1
     left = items.select(F.col(f"`{item_id}`").alias("item_id"), word_hashes(item_text).alias("item_words"))
@@ -92,23 +91,19 @@ def repeated_items(
     short = [r[0] for r in left.where(F.size("item_words") < span).select(F.size("item_words")).distinct().collect()]
     # whole short items, as further masks that only items of just that length have
     every = list(masks) + [tuple(range(n)) for n in sorted(short)]
-    seeds = _windows(left, "item_words", every, ["item_id", "item_words"]).withColumnRenamed("at", "item_at")
+    seeds = _windows(left, "item_words", every, ["item_id", "item_words"])
     own = F.lit(False)
     for number, mask in enumerate(every):
         fits = F.size("item_words") >= span if number < len(masks) else F.size("item_words") == len(mask)
         own = own | ((F.col("mask") == number) & fits)
-    seeds = stage(seeds.where(own), "benchmark-seeds")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), word_hashes(text).alias("words")).where(F.col("doc_id").isNotNull())
-
-    if known(seeds, broadcast_rows):
-        windows = _windows(rows, "words", every, ["doc_id", "words"])
-        hits = windows.join(F.broadcast(seeds), ["mask", "seed"]).where(_first_of_run(every))
-        hits = hits.select("doc_id", "item_id", "words", "item_words", (F.col("at") - F.col("item_at")).alias("start"))
-    else:
-        windows = _windows(rows, "words", every, ["doc_id", "words"]).select("doc_id", "at", "mask", "seed")
-        narrow = windows.join(seeds.select("mask", "seed", "item_id", "item_at"), ["mask", "seed"])
-        narrow = stage(narrow.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start")).distinct(), "benchmark-hits")
-        hits = narrow.join(left, "item_id").join(rows, "doc_id")
+    seeds = stage(seeds.where(own).select("mask", "seed", "item_id", F.col("at").alias("item_at")).distinct(), "benchmark-seeds")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("body")).where(F.col("doc_id").isNotNull())
+
+    windows = _windows(rows.select("doc_id", word_hashes("body").alias("words")), "words", every, ["doc_id"])
+    hits = join_small(windows, seeds, ["mask", "seed"], "inner", broadcast_rows)
+    hits = stage(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start")).distinct(), "benchmark-hits")
+    met = join_small(rows, hits, "doc_id", "inner", broadcast_rows).withColumn("words", word_hashes("body")).drop("body")
+    met = join_small(met, left, "item_id", "inner", broadcast_rows)
     best = F.struct("matched", "run_score", (-F.col("start")).alias("early"), F.col("item_length"))
-    found = _compared(hits, share, long_run, span).groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
+    found = _compared(met, share, long_run, span).groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
     return found.select("doc_id", "item_id", (-F.col("best.early")).alias("start"), "best.matched", "best.item_length", "best.run_score")
