@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, near_text, rans, secrets, sentencepieces, token_counts, toxicity
+from holdfast.llm import decontaminate, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document."""
     return near_text.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op9_near_vectors")
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of one label."""
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
