@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity
+from holdfast.llm import decontaminate, html_main, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings of one label."""
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_main_text")
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages without the templates of their hosts."""
+    return html_main.extract(table(spark, sf_dir, "pages"))
