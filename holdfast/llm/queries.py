@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, html_main, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity
+from holdfast.llm import decontaminate, html_main, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,20 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages without the templates of their hosts."""
     return html_main.extract(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op10_warc",
+    """
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS page FROM pages),
+    t AS (SELECT page_id, url, CAST(octet_length(encode(page)) AS BIGINT) AS payload_bytes, sha256(page) AS payload_digest FROM p),
+    f AS (SELECT payload_digest, min(page_id) AS first FROM t WHERE payload_bytes >= 100 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+    FROM t LEFT JOIN f USING (payload_digest)""",
+)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as web archive records, read back by way of the capture index."""
+    captures = warc.archive(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
