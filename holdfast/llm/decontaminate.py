@@ -107,3 +107,10 @@ def repeated_items(
     best = F.struct("matched", "run_score", (-F.col("start")).alias("early"), F.col("item_length"))
     found = _compared(met, share, long_run, span).groupBy("doc_id", "item_id").agg(F.max(best).alias("best"))
     return found.select("doc_id", "item_id", (-F.col("best.early")).alias("start"), "best.matched", "best.item_length", "best.run_score")
+
+
+def drop_repeating(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows, with their own columns, whose document repeats no item."""
+    gone = repeated_items(docs, items, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stage(gone, "repeating")
+    return join_small(docs, gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti", 500_000)
