@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.ordered import running_sums
 from holdfast.operators.quality import col, numeric_columns, value_shares
 from holdfast.operators.relate import align_distributions
+from holdfast.session import stage
 
 BINS = 50
 EPSILON = 1e-10
@@ -64,8 +66,8 @@ def _side_statistics(both: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _bin(value: Column, low: Column, width: Column) -> Column:
-    """Equal-width bin, the last one closed on the right."""
-    return F.least(F.floor((value - low) / width), F.lit(BINS - 1)).cast("int")
+    """Equal-width bin, the last one closed on the right; NULL has none (``least`` alone would skip it)."""
+    return F.when(value.isNotNull(), F.least(F.floor((value - low) / width), F.lit(BINS - 1)).cast("int"))
 
 
 def _histogram(both: DataFrame, features: Sequence[str], stats: DataFrame) -> DataFrame:
@@ -119,7 +121,11 @@ def feature_drift(
     both = _both(train, serve, features)
     stats = _side_statistics(both, features)
     per_feature = stats.select(F.inline("stats"))
-    bins = _histogram(both, features, stats)
+    return _divergences(_histogram(both, features, stats), per_feature, threshold)
+
+
+def _divergences(bins: DataFrame, per_feature: DataFrame, threshold: float) -> DataFrame:
+    """The report rows of binned counts (feature, bin, train, serve) and per-feature statistics."""
     joined = bins.join(F.broadcast(per_feature), "feature")  # one row per feature
     enough = joined.where((F.col("n_train") >= MIN_VALUES) & (F.col("n_serve") >= MIN_VALUES))
     p = _smoothed(F.col("train"), F.col("n_train"), F.col("width"))
@@ -140,6 +146,88 @@ def feature_drift(
     )
 
 
+@dataclass
+class Profile:
+    """What drift checks need of the training data: counted values, moments and class shares, as written tables."""
+
+    features: list[str]
+    values: DataFrame  # feature, value, n
+    moments: DataFrame  # feature, n, mean, std
+    classes: DataFrame  # value, share
+
+
+def _counted(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value, n) of all features; the shuffle has one row per feature and value."""
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), col(c).cast("double").alias("value")) for c in features])
+    return df.select(F.inline(cells)).where("value is not null").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _moments(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, n, mean, std) of all features, from one pass."""
+    aggs = []
+    for i, c in enumerate(features):
+        value = col(c).cast("double")
+        aggs += [F.count(value).alias(f"n{i}"), F.avg(value).alias(f"mean{i}"), F.stddev_samp(value).alias(f"std{i}")]
+    rows = [F.struct(F.lit(c).alias("feature"), *[F.col(f"{s}{i}").alias(s) for s in ("n", "mean", "std")]) for i, c in enumerate(features)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def training_profile(train: DataFrame, target: str, ignore: Sequence[str] = (), folder: str | None = None) -> Profile:
+    """Count the training data once; later checks read only what is written here."""
+    features = sorted(set(numeric_columns(train)) - {target, *ignore})
+    shares = value_shares(train.select(col(target).cast("double").alias("value")), "value")
+    return Profile(
+        features,
+        stage(_counted(train, features), "profile-values", folder),
+        stage(_moments(train, features), "profile-moments", folder),
+        stage(shares, "profile-classes", folder),
+    )
+
+
+def drift_from_profile(profile: Profile, serve: DataFrame, threshold: float = 0.1, ignore: Sequence[str] = ()) -> DataFrame:
+    """As ``feature_drift``, against a stored profile: the training data is not read again."""
+    features = [c for c in profile.features if c in set(numeric_columns(serve)) - set(ignore)]
+    known = profile.values.where(F.col("feature").isin(features))
+    sides = known.select("feature", "value", F.col("n").alias("train"), F.lit(0).cast("bigint").alias("serve"))
+    sides = sides.unionByName(_counted(serve, features).select("feature", "value", F.lit(0).cast("bigint").alias("train"), F.col("n").alias("serve")))
+    bounds = sides.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    low = F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))
+    high = F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))
+    stats = bounds.select("feature", low.alias("low"), ((high - low) / BINS).alias("width"))
+    for name, moments in (("train", profile.moments), ("serve", _moments(serve, features))):
+        stats = stats.join(moments.select("feature", *[F.col(s).alias(f"{s}_{name}") for s in ("n", "mean", "std")]), "feature")
+    placed = sides.join(F.broadcast(stats), "feature")  # one row per feature
+    binned = placed.groupBy("feature", _bin(F.col("value"), F.col("low"), F.col("width")).alias("bin")).agg(
+        F.sum("train").alias("train"), F.sum("serve").alias("serve")
+    )
+    return _divergences(binned, stats, threshold)
+
+
+def prediction_drift_from_profile(profile: Profile, serve: DataFrame, predicted: str = "predicted_class", threshold: float = 0.1) -> DataFrame:
+    """Divergence between stored training classes and predicted classes, with both distributions."""
+    shares = value_shares(serve.select(col(predicted).cast("double").alias("value")), "value")
+    found = discrete_divergence(profile.classes, shares)
+    return found.select(
+        F.round("js", 6).alias("js_divergence"),
+        (F.col("js") > threshold).alias("drifted"),
+        _as_map(profile.classes).alias("train_distribution"),
+        _as_map(shares).alias("serve_distribution"),
+    )
+
+
+def _as_map(shares: DataFrame) -> Column:
+    """Class shares as one map; there are as many entries as classes."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("value").cast("string"), F.col("share"))))
+    return shares.where("value is not null").agg(F.map_from_entries(pairs)).scalar()
+
+
+def drift_report(profile: Profile, serve: DataFrame, predicted: str = "predicted_class", threshold: float = 0.1) -> DataFrame:
+    """One row: drifted features, prediction drift with both class distributions, and the alert."""
+    features = drift_from_profile(profile, serve, threshold, [predicted])
+    classes = prediction_drift_from_profile(profile, serve, predicted, threshold)
+    return alert(features, classes).withColumn("_p", F.lit(1)).join(classes.withColumn("_p", F.lit(1)), "_p").drop("_p", "drifted")
+
+
 def discrete_divergence(left: DataFrame, right: DataFrame, key: str = "value") -> DataFrame:
     """Jensen-Shannon divergence of two (key, share) tables over the union of their keys."""
     aligned = align_distributions(left, right, key, "share")

@@ -38,9 +38,14 @@ def feature_columns(df: DataFrame, target: str, entity: str) -> list[str]:
 
 
 def examples(df: DataFrame, target: str, entity: str, features: Sequence[str] | None = None) -> DataFrame:
-    """``id bigint, vec array<double>, label int`` and the entity; text ids get a dense number."""
+    """``id bigint, vec array<double>, label int`` and the entity.
+
+    Whole-number entities that occur once each are the ids; otherwise rows get a dense number, since
+    neighbour searches and anti-joins need one id a row.
+    """
     features = list(features or feature_columns(df, target, entity))
-    if isinstance(df.schema[entity].dataType, T.IntegralType):
+    whole = isinstance(df.schema[entity].dataType, T.IntegralType)
+    if whole and df.groupBy(col(entity)).count().where((F.col("count") > 1) | col(entity).isNull() | (col(entity) < 0)).isEmpty():
         numbered, number = df, col(entity).cast("bigint")
     else:
         needed = df.select(col(entity), col(target), *[col(c) for c in features])
@@ -108,7 +113,7 @@ def _logistic(rows: int, **p) -> Estimator:
 
 ALGORITHMS = {
     "xgboost": lambda rows, **p: GBTClassifier(**({"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "seed": SEED} | p)),
-    "random_forest": lambda rows, **p: RandomForestClassifier(**({"numTrees": 100, "maxDepth": 10, "maxMemoryInMB": 1024, "seed": SEED} | p)),
+    "random_forest": lambda rows, **p: RandomForestClassifier(**({"numTrees": 100, "maxDepth": 30, "maxMemoryInMB": 1024, "seed": SEED} | p)),
     "logistic_regression": _logistic,
     "adaboost": lambda rows, **p: StumpBoosting(**({"maxIter": 50, "seed": SEED} | p)),
     "decision_tree": lambda rows, **p: DecisionTreeClassifier(**({"maxDepth": 10, "seed": SEED} | p)),
@@ -209,7 +214,9 @@ def train(
         estimator(name, 1)
     for name in strategies:
         resample.strategy(name)
-    split = materialise(stratified_split(frame, "label", "id", test_size))
+    # rows without a label teach nothing and cannot be tested; the split reads its input several times
+    labelled = materialise(frame.where(F.col("label").isNotNull()))
+    split = materialise(stratified_split(labelled, "label", "id", test_size))
     training, test = split.where(~F.col("is_test")), split.where("is_test")
     models: dict[str, Model] = {}
     runs = []
@@ -256,7 +263,7 @@ def search(
 ) -> tuple[Model, DataFrame]:
     """Cross-validated random search by area under the curve; the best setting is fitted again on all
     training rows.  Returns the model and one row per setting."""
-    settings = list(settings or sample_settings(algorithm, min(n_iter, 20)))
+    settings = list(settings or sample_settings(algorithm, n_iter))
     ready = materialise(fold_assignment(with_vectors(training), "id", folds).select("id", "features", "label", "fold"))
     rows = ready.count()
     base = estimator(algorithm, rows)
@@ -267,7 +274,7 @@ def search(
     validator = CrossValidator(
         estimator=base,
         estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label"),
+        evaluator=BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", numBins=0),
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,

@@ -53,20 +53,12 @@ def manifest(
         .withColumn("total_features", total)
     )
     card = F.struct(
-        F.struct(
-            F.lit(name).alias("name"),
-            "version",
-            F.lit("Binary classification").alias("type"),
-            "algorithm",
-            F.lit("Spark ML").alias("framework"),
-            F.lit(description).alias("description"),
-        ).alias("model_details"),
-        F.struct(
-            F.concat(F.col("train_rows").cast("string"), F.lit(" training rows")).alias("size"),
-            F.concat(F.col("total_features").cast("string"), F.lit(" features")).alias("features"),
-        ).alias("training_data"),
-        F.struct("metrics", F.lit("Holdout test set").alias("evaluation")).alias("performance"),
-        F.col("card_features").alias("top_features"),
+        F.concat_ws(" ", F.lit(name), "version").alias("title"),
+        F.lit(description).alias("purpose"),
+        F.concat_ws(" after ", F.col("algorithm"), F.concat("smote_strategy", F.lit(" resampling"))).alias("fitted_by"),
+        F.struct("train_rows", "total_features").alias("learned_from"),
+        F.struct("metrics", F.lit("rows kept out of training").alias("measured_on")).alias("scores"),
+        F.col("card_features").alias("leading_features"),
     )
     return row.select(
         F.lit(name).alias("model_display_name"),

@@ -77,7 +77,9 @@ def _cut(points: DataFrame, dim: int, box_rows: int) -> tuple[DataFrame, list[di
             top = large[b]["hi"][axis[b]]
             cuts = sorted({c for c in wanted if c < top})
             if not cuts:  # most points share the top value; split it off
-                cuts = [(large[b]["lo"][axis[b]] + top) / 2]
+                # a midpoint of neighbouring floats may round up to the top, which would split nothing
+                middle = large[b]["lo"][axis[b]] / 2 + top / 2
+                cuts = [middle if middle < top else large[b]["lo"][axis[b]]]
             level[b] = (axis[b], cuts, next_box)
             next_box += len(cuts) + 1
         levels.append(level)

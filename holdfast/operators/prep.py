@@ -277,9 +277,12 @@ def student_features(columns: Sequence[str], first_cohort: Column | None = None,
     return out
 
 
-def engineer_features(df: DataFrame, guarded: bool = False) -> DataFrame:
-    """Add the derived features; infinities become NULL everywhere, then -1 in the new columns."""
-    first = df.agg(F.min("cohort_year")).scalar() if "cohort_year" in df.columns else None
+def engineer_features(df: DataFrame, guarded: bool = False, first_cohort: int | None = None) -> DataFrame:
+    """Add the derived features; infinities become NULL everywhere, then -1 in the new columns.
+
+    ``first_cohort`` is the earliest cohort of the training data; where it is not given, this frame's.
+    """
+    first = df.agg(F.min("cohort_year")).scalar() if first_cohort is None and "cohort_year" in df.columns else first_cohort
     new = student_features(df.columns, first, guarded)
     wide = df.withColumns(new)
     out = []

@@ -43,11 +43,19 @@ def date_like_columns(columns: Sequence[str]) -> list[str]:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact non-null distinct count per column, in one pass: (column, value) pairs are
-    de-duplicated before the shuffle and counted after it."""
-    cells = F.array(
-        *[F.struct(F.lit(i).alias("i"), col(c).cast("string").alias("value")) for i, c in enumerate(columns)]
-    )
+    """Non-null distinct count per column, in one pass: (column, digest of the value) pairs are
+    de-duplicated before the shuffle and counted after it.
+
+    A digest is 128 bits, whatever the length of a value. Zero counts once, with either sign.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def digest(c: str) -> Column:
+        # adding zero turns a negative zero into a positive one
+        value = col(c) + F.lit(0.0).cast(types[c]) if isinstance(types[c], (T.FloatType, T.DoubleType)) else col(c)
+        return F.unhex(F.md5(value.cast("string").cast("binary")))
+
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), digest(c).alias("value")) for i, c in enumerate(columns)])
     names = F.array(*[F.lit(c) for c in columns])
     return (
         df.select(F.inline(cells))

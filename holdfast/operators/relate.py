@@ -77,7 +77,9 @@ def merge_tables(
 def merge_students(tables: dict[str, DataFrame]) -> DataFrame:
     """The student analysis frame: one row per enrolment event."""
     academic = tables.get("academic_records")
-    latest = latest_values(academic, "student_id", ["term_code"]) if academic is not None else None
+    # terms of one code are told apart by all their values, so each run takes the same one
+    ties = [c for c in academic.columns if c not in ("student_id", "term_code")] if academic is not None else []
+    latest = latest_values(academic, "student_id", ["term_code", *ties]) if academic is not None else None
     return merge_tables(
         tables["enrollment_events"],
         "student_id",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.ordered import dense_index
@@ -18,6 +18,8 @@ from holdfast.session import materialise
 
 NEIGHBOURS = 5
 CLEANING_NEIGHBOURS = 3
+#: Draws of a base row that one task makes at most, and base rows in a block of running sums.
+PIECE, BLOCK = 10_000, 100_000
 
 
 class ResampleError(ValueError):
@@ -33,6 +35,17 @@ def _class_counts(frame: DataFrame) -> tuple[int, int, int]:
     return minority, counts[minority], sum(counts.values()) - counts[minority]
 
 
+def _with_drawn_before(base: DataFrame) -> DataFrame:
+    """Adds the sum of the quotas of all earlier rows, by blocks of rows and then within a block."""
+    blocked = base.withColumn("_block", F.floor(F.col("row_index") / BLOCK))
+    sums = blocked.groupBy("_block").agg(F.sum("quota").alias("_sum"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_block").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocked.withColumn("_in", F.coalesce(F.sum("quota").over(within), F.lit(0)))
+    return placed.join(sums, "_block").withColumn("drawn_before", F.col("_start") + F.col("_in")).drop("_block", "_in", "_start")
+
+
 def _interpolate(base: DataFrame, quota: Column, neighbours: DataFrame, minority: int, seed: int) -> DataFrame:
     """``quota`` rows per base row, each on the line to a drawn neighbour.
 
@@ -42,12 +55,12 @@ def _interpolate(base: DataFrame, quota: Column, neighbours: DataFrame, minority
     around = neighbours.groupBy("id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "nvec"))), lambda s: s["nvec"]).alias("around")
     )
-    drawn = (
-        base.withColumn("quota", quota)
-        .where("quota > 0")
-        .join(around, "id")
-        .withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("quota").cast("int"))))
-    )
+    # a row's quota is cut into pieces that are dealt out, so one row's draws need not be one task's
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("quota") - 1) / PIECE).cast("bigint"))
+    wanted = _with_drawn_before(base.withColumn("quota", quota.cast("bigint")).where("quota > 0"))
+    cut = wanted.withColumn("piece", F.explode(pieces)).repartition("id", "piece")
+    first, last = F.col("piece") * PIECE + 1, F.least(F.col("quota"), (F.col("piece") + 1) * PIECE)
+    drawn = cut.join(around, "id").withColumn("draw", F.explode(F.sequence(first, last)))
     pick = F.pmod(F.xxhash64("id", "draw", F.lit(seed)), F.size("around").cast("bigint")).cast("int")
     step = hash_unit(F.col("id"), F.col("draw"), F.lit(seed + 1))
     return (
@@ -55,8 +68,8 @@ def _interpolate(base: DataFrame, quota: Column, neighbours: DataFrame, minority
         .withColumn("_step", step)
         .withColumn("_step_vec", F.transform("vec", lambda x: F.col("_step")))
         .select(
-            # quotas differ by row, so ids come from the row number and the draw
-            (-(F.col("row_index") * (1 << 20) + F.col("draw"))).alias("id"),
+            # quotas differ by row; ids count down from -1 by the draws of earlier rows
+            (-(F.col("drawn_before") + F.col("draw"))).alias("id"),
             F.zip_with(
                 "vec", F.zip_with("_to", "_step_vec", lambda t, s: F.struct(t.alias("t"), s.alias("s"))),
                 lambda x, ts: x + ts["s"] * (ts["t"] - x),
@@ -99,7 +112,7 @@ def adasyn(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     total = weighted.agg(F.sum("hardness")).first()[0]
     if not total:
         raise ResampleError("no minority row has a majority neighbour")
-    quota = F.rint(F.col("hardness") / F.lit(total) * F.lit(many - few)).cast("int")
+    quota = F.rint(F.col("hardness") / F.lit(total) * F.lit(many - few)).cast("bigint")
     near = nearest_neighbours(base, base, k)
     return frame.unionByName(_interpolate(weighted, quota, near, minority, seed))
 

@@ -74,10 +74,15 @@ def align_features(df: DataFrame, expected: Sequence[str], keep: Sequence[str] =
     )
 
 
-def request_features(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ("student_id",)) -> DataFrame:
+def request_features(
+    df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ("student_id",), first_cohort: int | None = None
+) -> DataFrame:
     """The model's input for scoring requests: defaults, the same derived features as in training in
-    their guarded form, then the model's columns by name."""
-    return align_features(engineer_features(with_defaults(df), guarded=True), expected, keep)
+    their guarded form, then the model's columns by name.
+
+    Pass the training data's ``first_cohort``, or one student's recency differs between batches.
+    """
+    return align_features(engineer_features(with_defaults(df), guarded=True, first_cohort=first_cohort), expected, keep)
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 50) -> DataFrame:
@@ -101,6 +106,8 @@ def _lookup(salted: DataFrame, answers: DataFrame, key: str, hot: DataFrame, con
 
 
 def _young(as_of: str, stored: str, ttl_seconds: int) -> Column:
+    """Younger than the time to live, and not stored after the request: a batch holds later answers
+    too, which a cache asked at that time could not have given."""
     age = F.col(as_of).cast("double") - F.col(stored).cast("double")
     return (age < ttl_seconds) & (age >= 0)
 

@@ -246,6 +246,7 @@ def stream_cache_lookup(spark, sf):
     rows = _event_stream(spark, sf).select(
         F.col("user_id").alias("entity"),
         F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").cast("bigint").alias("seq"),
         F.when(bought, (F.col("value") > 50).cast("int")).alias("predicted_class"),
         F.when(bought, F.col("value") / 500).alias("probability"),
     )

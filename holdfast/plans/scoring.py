@@ -166,7 +166,7 @@ NOW = "2024-01-30 12:00:00"
 def request_tables(spark, sf):
     """Events as requests, as the log behind the cache, and customers' batch predictions."""
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    requests = events.where(F.col("ts") >= "2024-01-29").select(
+    requests = events.select(
         F.col("event_id").alias("request_id"),
         (F.col("user_id") * 2).alias("entity"),
         F.lit(NOW).cast("timestamp").alias("as_of"),
@@ -199,7 +199,7 @@ SERVE_SQL = f"""
         select event_id as request_id, user_id * 2 as entity, timestamp '{NOW}' as as_of,
                case when event_type = 'purchase' then (value > 50)::int end as live_class,
                case when event_type = 'purchase' then round(value / 500, 4) end as live_probability
-        from events where ts >= timestamp '2024-01-29'
+        from events
     ),
     cache as (
         select user_id * 3 as entity, ts as stored, (value > 30)::int as cache_class,

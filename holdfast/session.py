@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,15 @@ def local_session(cpus: int = 8, memory: str = "8g", name: str = "holdfast") ->
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the setting is absent, as in a bare test session, a local folder is made once.
+    Only where the setting is absent in a session of one machine, as in tests, a local folder is made
+    once. On a cluster executors would write there to disks of their own, so that is refused.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        root = context.getCheckpointDir() or tempfile.mkdtemp(prefix="holdfast-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="holdfast-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

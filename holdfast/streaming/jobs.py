@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,13 +73,17 @@ def drain_rows(stream: DataFrame, label: str) -> DataFrame:
 def check_batches(
     predictions: DataFrame, profile: DataFrame, target: str, alerts_path: str, checkpoint: str, threshold: float = 0.1
 ) -> None:
-    """Compare every micro-batch of predictions with the training profile; write one alert row each."""
+    """Compare every micro-batch of predictions with the training data; write one alert row each.
+
+    The training data is counted once, before the stream starts; a batch reads only that profile.
+    """
+    known = drift.training_profile(profile, target, ["predicted_class"])
 
     def check(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            features = drift.feature_drift(profile, batch, threshold=threshold, ignore=[target, "predicted_class"])
-            classes = drift.prediction_drift(profile, batch, target, threshold=threshold)
+            features = drift.drift_from_profile(known, batch, threshold, ["predicted_class"])
+            classes = drift.prediction_drift_from_profile(known, batch, threshold=threshold)
             decision = drift.alert(features, classes)
             message = encode(
                 F.struct(
@@ -95,7 +100,8 @@ def check_batches(
 def prediction_log(scored: DataFrame, entity: str, features: Sequence[str], version: str, ts: str | None = None) -> DataFrame:
     """Scored rows in the shape of the prediction log.
 
-    ``prediction_id`` is a hash of the request, so a repeated batch writes the same ids.
+    ``prediction_id`` is a hash of the request, so a repeated batch writes the same ids. ``latency_ms``
+    and ``served_from_cache`` are taken from columns of those names where the rows carry them.
     """
     stamp = F.col(ts) if ts else F.current_timestamp()
     body = F.to_json(F.struct(*features))
@@ -107,8 +113,8 @@ def prediction_log(scored: DataFrame, entity: str, features: Sequence[str], vers
         F.col("predicted_class").cast("bigint").alias("predicted_class"),
         F.bround("predicted_probability", 4).alias("predicted_probability"),
         body.alias("features_json"),
-        F.lit(None).cast("double").alias("latency_ms"),
-        F.lit(False).alias("served_from_cache"),
+        (F.col("latency_ms") if "latency_ms" in scored.columns else F.lit(None)).cast("double").alias("latency_ms"),
+        (F.col("served_from_cache") if "served_from_cache" in scored.columns else F.lit(False)).cast("boolean").alias("served_from_cache"),
     )
 
 
@@ -125,37 +131,48 @@ def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], l
 class AnswerCache(StatefulProcessor):
     """Last answer per entity, forgotten after its time to live; requests get a hit or a miss.
 
-    Input rows: entity, ts, predicted_class, probability; rows without a class are requests.
-    An event-time timer clears an answer once it can no longer be used, which bounds the state.
+    Input rows: entity, ts, seq, predicted_class, probability; rows without a class are requests, and
+    seq orders rows of one time. The rows of an entity in a batch are put in order once, however many
+    chunks they come in, so a source should bound its batches (``files_per_batch``). State is read and
+    written once a batch; an event-time timer clears an answer that can no longer be used.
     """
 
     def __init__(self, ttl_seconds: int):
-        self.ttl_seconds = ttl_seconds
+        self.ttl = ttl_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.answer = handle.getValueState("answer", "predicted_class int, probability double, stored double")
+        self.answer = handle.getValueState("answer", "predicted_class int, probability double, stored bigint, seq bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # chunks are Arrow batches; an entity's rows are in time order inside each
-        for chunk in rows:
-            out = []
-            for row in chunk.sort_values("ts").itertuples(index=False):
-                now = row.ts.timestamp()
-                if pd.notna(row.predicted_class):
-                    self.answer.update((int(row.predicted_class), float(row.probability), now))
-                    self.handle.registerTimer(int((now + self.ttl_seconds) * 1000) + 1)
-                    continue
-                held = self.answer.get() if self.answer.exists() else None
-                fresh = held is not None and 0 <= now - held[2] < self.ttl_seconds
-                out.append((key[0], row.ts, fresh, held[0] if fresh else None, held[1] if fresh else None))
-            yield pd.DataFrame(out, columns=["entity", "ts", "hit", "predicted_class", "probability"])
+        chunk = pd.concat(list(rows), ignore_index=True)
+        at = chunk["ts"].to_numpy("datetime64[us]").astype(np.int64)
+        seq = chunk["seq"].to_numpy(np.int64)
+        label = chunk["predicted_class"].to_numpy(float, na_value=np.nan)
+        chance = chunk["probability"].to_numpy(float, na_value=np.nan)
+        held = self.answer.get() if self.answer.exists() else None
+        if held is not None:  # the held answer takes its place among the rows
+            at, seq = np.append(at, held[2]), np.append(seq, held[3])
+            label, chance = np.append(label, held[0]), np.append(chance, held[1])
+        order = np.lexsort((seq, at))
+        answers = ~np.isnan(label[order])
+        last = np.maximum.accumulate(np.where(answers, np.arange(len(order)), -1))
+        if answers.any():
+            newest = order[last[-1]]
+            if newest < len(chunk):
+                self.answer.update((int(label[newest]), float(chance[newest]), int(at[newest]), int(seq[newest])))
+                self.handle.registerTimer(int(at[newest] + self.ttl) // 1000 + 1)
+        asked = np.flatnonzero(~answers)
+        source = order[last[asked]]
+        fresh = (last[asked] >= 0) & (at[order[asked]] - at[source] < self.ttl)
+        found = pd.DataFrame({"entity": key[0], "ts": chunk["ts"].to_numpy()[order[asked]], "hit": fresh})
+        found["predicted_class"] = pd.array(np.where(fresh, label[source], np.nan), dtype="Int32")
+        found["probability"] = pd.array(np.where(fresh, chance[source], np.nan), dtype="Float64")
+        yield found
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.answer.exists():
-            expires = (self.answer.get()[2] + self.ttl_seconds) * 1000
-            if expires <= expiredTimerInfo.getExpiryTimeInMs():
-                self.answer.clear()
+        if self.answer.exists() and self.answer.get()[2] + self.ttl <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            self.answer.clear()
         return iter([])
 
     def close(self) -> None:
@@ -185,8 +202,10 @@ def with_state_store(spark: SparkSession, run: Callable):
 def cache_stream(rows: DataFrame, ttl_seconds: int = 3600, delay: str = "10 minutes") -> DataFrame:
     """Answer the requests of a mixed stream of answers and requests from keyed state.
 
-    Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+    A whole-number column ``seq``, if there is one, orders rows of one time. Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
     """
+    if "seq" not in rows.columns:
+        rows = rows.withColumn("seq", F.lit(0).cast("bigint"))
     return (
         rows.withWatermark("ts", delay)
         .groupBy("entity")

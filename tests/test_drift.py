@@ -79,3 +79,14 @@ def test_common_features_are_sorted(spark):
     a = spark.sql("select 1 as z, 2.0D as b, 'x' as s, true as f, 3 as target")
     b = spark.sql("select 1 as b, 2 as z, 1 as s, 3 as target, true as f")
     assert drift.common_features(a, b, ["target"]) == ["b", "z"]
+
+
+def test_stored_profile_gives_the_same_report(spark):
+    train = spark.range(400).selectExpr("cast(id % 17 as double) as x", "if(id % 9 = 0, null, id * 0.5) as z", "cast(id % 4 > 0 as int) as y", "1.5 as steady")
+    serve = spark.range(150).selectExpr("cast(id % 11 + 6 as double) as x", "id * 0.7 as z", "cast(id % 3 > 0 as int) as predicted_class", "1.5 as steady")
+    profile = drift.training_profile(train, "y", ["predicted_class"])
+    direct = drift.feature_drift(train, serve, ignore=["y", "predicted_class"])
+    assert sorted(map(tuple, drift.drift_from_profile(profile, serve, ignore=["predicted_class"]).collect())) == sorted(map(tuple, direct.collect()))
+    row = drift.drift_report(profile, serve).first()
+    assert row["train_distribution"] == {"0.0": 0.25, "1.0": 0.75}
+    assert (row["features_analyzed"], row["drifted_features"], row["alert_triggered"]) == (3, 2, True)

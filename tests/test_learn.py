@@ -166,7 +166,7 @@ def test_manifest_and_log(spark, frame, trained):
     row = models.manifest(metrics.winner(results, "auc"), ranked, "/models/x", registered_at="2024-05-06 07:08:09")
     got = row.first()
     assert got["version"] == "v1_20240506_070809" and got["top_features"][0] == "a" and len(got["top_features"]) == 3
-    assert '"features":"3 features"' in got["model_card"]
+    assert '"total_features":3' in got["model_card"]
     path = fresh_path(spark, "registry")
     models.register(row, path)
     models.register(row.withColumn("registered_at", F.col("registered_at") + F.expr("interval 1 day")).withColumn("version", F.lit("later")), path)

@@ -116,3 +116,27 @@ def test_cache_answers_expire(spark):
     looked = jobs.drain_rows(jobs.cache_stream(jobs.file_stream(spark, path, df.schema), 3600), "lookups")
     got = sorted((r["entity"], r["at"], r["hit"], r["predicted_class"]) for r in looked.selectExpr("*", "unix_timestamp(ts) - 1704067200 as at").collect())
     assert got == [(1, 10, True, 1), (1, 3599, True, 1), (1, 3600, False, None), (1, 4001, True, 0), (2, 5, False, None)]
+
+
+def test_cache_with_many_shuffled_rows_of_one_entity(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(7, rnd.randrange(200_000), i, rnd.randrange(2) if i % 5 == 0 else None) for i in range(50_000)]
+    df = spark.createDataFrame(rows, "entity bigint, at bigint, seq bigint, predicted_class int").select(
+        "entity", F.timestamp_seconds(F.col("at") + 1704067200).alias("ts"), "seq", "predicted_class",
+        F.when(F.col("predicted_class").isNotNull(), F.col("seq") / 1e6).alias("probability"),
+    )
+    path = fresh_path(spark, "cache-many")
+    df.coalesce(1).write.parquet(path)
+    looked = jobs.drain_rows(jobs.cache_stream(jobs.file_stream(spark, path, df.schema), 60), "lookups")
+    found = looked.selectExpr("*", "unix_timestamp(ts) - 1704067200 as at").collect()
+    got = sorted(((r["at"], r["hit"], r["predicted_class"], r["probability"]) for r in found), key=str)
+    want, held = [], None
+    for _, at, seq, label in sorted(rows, key=lambda r: (r[1], r[2])):
+        if label is not None:
+            held = (at, label, seq / 1e6)
+        else:
+            hit = held is not None and at - held[0] < 60
+            want.append((at, hit, held[1] if hit else None, held[2] if hit else None))
+    assert got == sorted(want, key=str)
