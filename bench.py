@@ -44,6 +44,13 @@ HEADLINE = [
     "batch_score",
     "smote",
     "student_reduced_frame",
+    "train_compete",
+    "adaboost",
+    "smoteenn",
+    "permutation_importance",
+    "stream_drift_check",
+    "stream_window_mean",
+    "stream_cache_lookup",
 ]
 
 

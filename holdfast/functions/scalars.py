@@ -81,9 +81,18 @@ def short_sha256(c: Column) -> Column:
     return F.substring(F.sha2(c.cast("string"), 256), 1, 16)
 
 
+def hash_number(*parts: Column) -> Column:
+    """Deterministic whole number below 2^52 from the MD5 of the parts' text forms.
+
+    It stands in for a seeded generator, and any engine with MD5 draws the same.
+    """
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
 def hash_unit(*parts: Column) -> Column:
-    """Deterministic uniform number in [0, 1) from a hash; stands in for a seeded generator."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+    """Deterministic uniform number in [0, 1) from a hash."""
+    return hash_number(*parts).cast("double") / F.lit(float(1 << 52))
 
 
 def cache_key(entity: Column) -> Column:

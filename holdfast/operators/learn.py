@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.functions.ordered import dense_index
+from holdfast.functions.scalars import hash_number
 from holdfast.operators import metrics, resample
 from holdfast.operators.boosting import StumpBoosting
 from holdfast.operators.quality import col, numeric_columns
@@ -64,7 +65,7 @@ def stratified_split(df: DataFrame, stratum: str, key: str, test_size: float = 0
     Hashes are spread evenly, so counting them by their top 16 bits finds the one slice that holds
     the cut; only that slice is ordered.  Rows with the same key stay together.
     """
-    hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_slice", F.shiftright("_h", 48))
+    hashed = df.withColumn("_h", hash_number(F.col(key), F.lit(seed))).withColumn("_slice", F.shiftright("_h", 36))
     counts = hashed.groupBy(stratum, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(stratum).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(stratum)
@@ -91,7 +92,7 @@ def stratified_split(df: DataFrame, stratum: str, key: str, test_size: float = 0
 
 def fold_assignment(df: DataFrame, key: str, folds: int = 5, seed: int = SEED) -> DataFrame:
     """Add ``fold`` in 0..folds-1 from a hash of the key, independent of the label."""
-    return df.withColumn("fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(folds)).cast("int"))
+    return df.withColumn("fold", (hash_number(F.col(key), F.lit(seed + 1)) % folds).cast("int"))
 
 
 def with_vectors(frame: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions import skew
+from holdfast.functions.scalars import hash_number
 
 
 def latest_values(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str] | None = None) -> DataFrame:
@@ -113,7 +114,7 @@ def share_assignment(df: DataFrame, key: str, splits: dict[str, int], seed: int
     """Assign each key to a named share of traffic; percentages sum to 100."""
     if sum(splits.values()) != 100:
         raise ValueError("traffic percentages must sum to 100")
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    draw = hash_number(F.col(key), F.lit(seed)) % 100
     upper, chain = 0, None
     for name, percent in splits.items():
         upper += percent

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.ordered import dense_index
-from holdfast.functions.scalars import hash_unit
+from holdfast.functions.scalars import hash_number, hash_unit
 from holdfast.operators.neighbours import nearest_neighbours
 from holdfast.session import materialise
 
@@ -61,7 +61,7 @@ def _interpolate(base: DataFrame, quota: Column, neighbours: DataFrame, minority
     cut = wanted.withColumn("piece", F.explode(pieces)).repartition("id", "piece")
     first, last = F.col("piece") * PIECE + 1, F.least(F.col("quota"), (F.col("piece") + 1) * PIECE)
     drawn = cut.join(around, "id").withColumn("draw", F.explode(F.sequence(first, last)))
-    pick = F.pmod(F.xxhash64("id", "draw", F.lit(seed)), F.size("around").cast("bigint")).cast("int")
+    pick = (hash_number(F.col("id"), F.col("draw"), F.lit(seed)) % F.size("around")).cast("int")
     step = hash_unit(F.col("id"), F.col("draw"), F.lit(seed + 1))
     return (
         drawn.withColumn("_to", F.get("around", pick))

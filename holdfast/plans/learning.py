@@ -55,7 +55,32 @@ def stratified_split(spark, sf):
     return split.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test"))
 
 
-@query("fold_assignment")
+def _draw(key: str, seed: int) -> str:
+    """SQL for the draw that ``hash_number`` makes of a key and a seed."""
+    return f"('0x' || substr(md5({key}::varchar || '|{seed}'), 1, 13))::bigint"
+
+
+@query(
+    "stratified_rows",
+    f"""
+    with {LABELS_SQL}
+    select id, label, row_number() over (partition by label order by {_draw("id", 42)})
+                      <= round(count(*) over (partition by label) * 0.2) as is_test
+    from labels_
+    """,
+)
+def stratified_rows(spark, sf):
+    """Which rows are kept for testing."""
+    return learn.stratified_split(order_examples(spark, sf).select("id", "label"), "label", "id").select("id", "label", "is_test")
+
+
+@query(
+    "fold_assignment",
+    f"""
+    with {LABELS_SQL}, f as (select label, ({_draw("id", 43)} % 5)::int as fold from labels_)
+    select fold, count(*) as n, round(avg(label), 4) as class_share from f group by 1
+    """,
+)
 def fold_assignment(spark, sf):
     folds = learn.fold_assignment(order_examples(spark, sf).select("id", "label"), "id")
     return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("label"), 4).alias("class_share"))
@@ -103,6 +128,16 @@ def enn(spark, sf):
     return _class_summary(resample.edited(order_examples(spark, sf)))
 
 
+@query("smotetomek")
+def smotetomek(spark, sf):
+    return _class_summary(resample.smote_tomek(order_examples(spark, sf)))
+
+
+@query("smoteenn")
+def smoteenn(spark, sf):
+    return _class_summary(resample.smote_enn(order_examples(spark, sf)))
+
+
 _COMPARED = ["model", "rank", "train_rows", "resample_status", "accuracy", "auc", "f1", "tn_rate", "tp_rate"]
 
 
@@ -126,10 +161,17 @@ def boosted_trees(spark, sf):
     return results.select(*_COMPARED)
 
 
+@query("deep_boosted_trees")
+def deep_boosted_trees(spark, sf):
+    """The boosted trees of depth six."""
+    results, _, _ = learn.train(order_examples(spark, sf), ["xgboost"], ["none"])
+    return results.select(*_COMPARED)
+
+
 @query("search")
 def search(spark, sf):
     split = learn.stratified_split(order_examples(spark, sf), "label", "id")
-    _, tried = learn.search(split.where(~F.col("is_test")), "decision_tree", n_iter=6, folds=3)
+    _, tried = learn.search(split.where(~F.col("is_test")), "decision_tree")
     return tried
 
 

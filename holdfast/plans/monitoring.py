@@ -116,6 +116,24 @@ def window_p99(spark, sf):
     return _shown(windows.window_percentiles_exact(points(spark, sf), "ts", ["series"], "value", 3600))
 
 
+def _p99_sql(seconds):
+    return f"""
+    select {_bucket(seconds)}, event_type as series, round(quantile_cont(value, 0.5), 6) as p50,
+           round(quantile_cont(value, 0.99), 6) as p99
+    from events group by all
+    """
+
+
+@query("window_p99_5min", _p99_sql(300))
+def window_p99_5min(spark, sf):
+    return _shown(windows.window_percentiles_exact(points(spark, sf), "ts", ["series"], "value", 300))
+
+
+@query("window_p99_1min", _p99_sql(60))
+def window_p99_1min(spark, sf):
+    return _shown(windows.window_percentiles_exact(points(spark, sf), "ts", ["series"], "value", 60))
+
+
 @query(
     "window_sum",
     f"""

@@ -393,7 +393,14 @@ def request_features(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("gpa_change", "credit_ratio")})
 
 
-@query("traffic_split")
+@query(
+    "traffic_split",
+    """
+    select case when ('0x' || substr(md5(o_orderkey::varchar || '|42'), 1, 13))::bigint % 100 < 80 then 'primary' else 'canary' end
+           as assigned_version, count(*) as n
+    from orders group by 1
+    """,
+)
 def traffic_split(spark, sf):
     """Share of orders assigned to each model version."""
     orders = table(spark, sf, "orders").select("o_orderkey")
