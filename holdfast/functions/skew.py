@@ -8,23 +8,29 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, hence fewer than ``1 / share`` of them."""
+#: Salts for rows without a key; they join nothing, so their number costs nothing.
+KEYLESS = 4096
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 1_000_000, rows_per_salt: int = 500_000) -> DataFrame:
+    """Keys holding more than ``share`` of the rows, hence fewer than ``1 / share`` of them, each with
+    the number of salts (``_ways``) that leaves ``rows_per_salt`` rows to a salt."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") > total * share)).select(key)
+    hot = counts.where((F.col("_n") >= min_rows) & (F.col("_n") > total * share))
+    return hot.select(key, F.greatest(F.lit(2), F.ceil(F.col("_n") / rows_per_salt)).cast("int").alias("_ways"))
 
 
-def salt_left(df: DataFrame, key: str, hot: DataFrame, ways: int) -> DataFrame:
-    """Spread rows of hot keys, and rows without a key, over ``ways`` salts; all others get 0."""
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(ways)).cast("int")
-    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    scattered = F.col("_hot").isNotNull() | F.col(key).isNull()
-    return marked.withColumn(SALT, F.when(scattered, spread).otherwise(0)).drop("_hot")
+def salt_left(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Spread rows of hot keys over their salts, and rows without a key over many; all others get 0."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.join(F.broadcast(hot), key, "left")
+    ways = F.coalesce("_ways", F.when(F.col(key).isNull(), F.lit(KEYLESS)), F.lit(1))
+    return marked.withColumn(SALT, F.pmod(spread, ways.cast("bigint")).cast("int")).drop("_ways")
 
 
-def salt_right(df: DataFrame, key: str, hot: DataFrame, ways: int) -> DataFrame:
+def salt_right(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Repeat the matching rows of hot keys once per salt."""
-    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    salts = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(ways - 1)))
-    return marked.withColumn(SALT, F.explode(F.coalesce(salts, F.array(F.lit(0))))).drop("_hot")
+    marked = df.join(F.broadcast(hot), key, "left")
+    salts = F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)
+    return marked.withColumn(SALT, F.explode(salts)).drop("_ways")

@@ -52,26 +52,26 @@ def merge_tables(
     key: str,
     sides: Sequence[tuple[DataFrame | None, str]],
     keep: Column | None = None,
-    ways: int = 32,
     hot_share: float = 0.001,
     hot_rows: int = 1_000_000,
+    rows_per_salt: int = 500_000,
 ) -> DataFrame:
     """Filtered events left-joined to each (table, suffix); absent tables (None) are skipped.
 
-    Rows of a hot key are spread over ``ways`` salts once, and every side is joined on
-    (key, salt), so the event side is shuffled once for all joins and no key fills a task.
+    Rows of a hot key are spread over salts once, as many as its rows ask for, and every side is joined
+    on (key, salt), so the event side is shuffled once for all joins and no key fills a task.
     """
     base = events.where(keep) if keep is not None else events
     present = [(side, suffix) for side, suffix in sides if side is not None]
     if not present:
         return base
-    hot = skew.hot_keys(base, key, hot_share, hot_rows)
+    hot = skew.hot_keys(base, key, hot_share, hot_rows, rows_per_salt)
     columns = list(base.columns)
-    merged = skew.salt_left(base, key, hot, ways)
+    merged = skew.salt_left(base, key, hot)
     for side, suffix in present:
         right = with_suffix(side, columns, key, suffix)
         columns += [c for c in right.columns if c != key]
-        merged = merged.join(skew.salt_right(right, key, hot, ways), [key, skew.SALT], "left")
+        merged = merged.join(skew.salt_right(right, key, hot), [key, skew.SALT], "left")
     return merged.select(*[F.col(f"`{c}`") for c in columns])
 
 

@@ -28,9 +28,6 @@ REQUEST_DEFAULTS = {name: -1.0 for name in REQUEST_BOUNDS} | {"first_generation_
 # The answer when nothing else is known.
 DEFAULT_ANSWER = {"predicted_class": -1, "probability": 0.5, "model_version": "none"}
 
-WAYS = 32
-
-
 def violated_rules(columns: Sequence[str], bounds: dict[str, tuple]) -> Column:
     """Array of the rules a row breaks; a missing optional field breaks none."""
     checks = []
@@ -93,12 +90,12 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int = 50) -> DataFrame:
 def _salted_requests(requests: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Requests with hot keys spread over salts, and the hot keys themselves."""
     hot = skew.hot_keys(requests, key)
-    return skew.salt_left(requests, key, hot, WAYS), hot
+    return skew.salt_left(requests, key, hot), hot
 
 
 def _lookup(salted: DataFrame, answers: DataFrame, key: str, hot: DataFrame, condition: Column | None = None) -> DataFrame:
     """Left join of salted requests to answers, which have one row per key."""
-    right = skew.salt_right(answers, key, hot, WAYS).withColumnsRenamed({key: "_k", skew.SALT: "_s"})
+    right = skew.salt_right(answers, key, hot).withColumnsRenamed({key: "_k", skew.SALT: "_s"})
     match = (F.col(key) == F.col("_k")) & (F.col(skew.SALT) == F.col("_s"))
     if condition is not None:
         match = match & condition

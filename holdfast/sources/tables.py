@@ -128,20 +128,21 @@ def write_clustered(
     bucket,
     cluster_by: Iterable[str] = (),
     mode: str = "overwrite",
-    files_per_partition: int = 8,
+    rows_per_file: int = 5_000_000,
 ) -> None:
     """Folder per bucket, rows ordered by the cluster columns inside each file.
 
-    A bucket is spread over ``files_per_partition`` writers, so one hot month or term does not
-    become a single task; each writer still handles whole buckets' shares only.
+    Rows are dealt out by ranges of bucket, cluster columns and a hash of the row, so a hot bucket is
+    spread over as many writers as its share of the rows asks for.
     """
-    cluster = list(cluster_by)
+    cluster = [F.col(_quoted(c)) for c in cluster_by]
     laid_out = df.withColumn(partition, bucket)
-    spread = F.pmod(F.xxhash64(*[F.col(_quoted(c)) for c in df.columns]), F.lit(files_per_partition))
+    row = F.xxhash64(*[F.col(_quoted(c)) for c in df.columns])
     (
-        laid_out.repartition(F.col(partition), spread)
-        .sortWithinPartitions(partition, *cluster)
+        laid_out.repartitionByRange(F.col(_quoted(partition)), *cluster, row)
+        .sortWithinPartitions(F.col(_quoted(partition)), *cluster)
         .write.mode(mode)
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(partition)
         .parquet(path)
     )

@@ -42,7 +42,7 @@ def test_hot_keys_are_salted_without_changing_the_result(spark):
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 == 1, None).otherwise(F.col("id")).alias("k"), F.col("id").alias("x")
     )
     right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
-    salted = relate.merge_tables(left, "k", [(right, "_r")], ways=4, hot_rows=10)
+    salted = relate.merge_tables(left, "k", [(right, "_r")], hot_rows=10, rows_per_salt=3)
     plain = left.join(right, "k", "left").select("k", "x", "y")
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
