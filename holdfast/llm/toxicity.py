@@ -3,10 +3,10 @@
 Labels are given for documents. A word of a toxic document is labelled toxic when one of its forms (the
 word, or its first three to six letters) is found almost only in toxic documents of the training sample,
 and in enough of them; copies in the sample count once. Toxic documents without such a word teach the
-field nothing. On these labels a two-state field is
-fitted: a weight per hashed form, a weight per pair of neighbouring tags. Forward and backward passes
-give each word's probability of being toxic; a document's score is a logistic function of their sum and
-maximum, fitted on the same sample, and its spans are the runs of words more likely toxic than not.
+field nothing. On these labels a two-state field is fitted: a weight per hashed form, a weight per pair
+of neighbouring tags. Forward and backward passes give each word's probability of being toxic. A
+document's score is a logistic function of their maximum and of their sum over the words that are more
+likely toxic than not, fitted on the same sample; its spans are the runs of such words.
 
 Long texts are tagged in chains of ``CHAIN`` words that follow each other without gaps, so every word
 counts; all chains of a batch advance together as one array.
@@ -112,8 +112,11 @@ def constant(score: float) -> Model:
 
 
 def _sums(probability: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """log(1 + sum) and maximum of the probabilities of each text."""
-    total = np.concatenate([[0.0], np.cumsum(probability)])
+    """log(1 + sum of those of one half or more) and maximum of the probabilities of each text.
+
+    Words below one half add nothing, so a text is not toxic by its mere length.
+    """
+    total = np.concatenate([[0.0], np.cumsum(np.where(probability >= 0.5, probability, 0.0))])
     ends = np.cumsum(lengths)
     sums = total[ends] - total[ends - lengths]
     top = np.zeros(len(lengths))
