@@ -9,9 +9,9 @@ of their sets of five-word runs is 0.8 or more.
 
 Copies (the same words in the same order, whatever the case, spaces and marks around words) are one text from the
 start. Within a bucket only the least text is compared with the others; texts that already hang
-together are not compared again; the least text then leaves its bucket, and rounds go on until what is
-left in every bucket hangs together. So no bucket is expanded into its pairs, and none loses a link that
-would join two classes.
+together are not compared again; the least text then leaves its bucket. Rounds go on while the pairs
+left between classes, over all buckets, are more than ``PAIRS`` a text; once they are fewer, all of them
+are compared. So no bucket is expanded into its pairs, and none loses a link that would join two classes.
 
 Defined results: rows without an id get no class; texts without words are copies of nothing; texts with
 fewer than five words are one run; rows with equal ids are one document; extra columns are ignored.
@@ -34,6 +34,8 @@ RUN = 5
 #: Bands and registers a band: two texts of similarity 0.8 share a band with probability 0.9994.
 BANDS, ROWS = 40, 8
 THRESHOLD = 0.8
+#: Pairs a text up to which all that are left between classes are compared at once.
+PAIRS = 2
 MAX_WORDS = 500_000
 MARKS = ".,;:!?\"'()[]{}<>*#-_"
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -179,21 +181,31 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     bodies = stage(bodies, "candidate-texts")
 
     members = members.withColumn("component", F.col("id"))
-    links, found = None, None
-    while True:
-        buckets = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("pivot"))
-        buckets = stage(buckets.where("low < high").select("bucket", "pivot"), "open-buckets")
-        if buckets.isEmpty():
+    few = texts.count()
+    links, found, last = None, None, False
+    while not last:
+        by_class = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min("id").alias("least"))
+        pairs_left = (F.pow(F.sum("n"), F.lit(2)) - F.sum(F.pow("n", F.lit(2)))) / 2
+        buckets = by_class.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), pairs_left.alias("pairs"), F.min("least").alias("pivot"))
+        buckets = stage(buckets.where("classes > 1").select("bucket", "pivot", "pairs"), "open-buckets")
+        total = buckets.agg(F.sum("pairs")).first()[0]
+        if total is None:
             break
-        members = stage(members.join(buckets, "bucket"), "members")
-        pivots = stage(members.where(F.col("id") == F.col("pivot")).select("bucket", F.col("component").alias("_of")), "pivots")
-        pairs = members.where(F.col("id") != F.col("pivot")).join(pivots, "bucket").where(F.col("component") != F.col("_of"))
-        pairs = stage(pairs.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        new = stage(_linked(pairs, bodies, threshold), "links")
+        members = stage(members.join(buckets.select("bucket", "pivot"), "bucket"), "members")
+        last = total <= PAIRS * few
+        if last:
+            left, right = (members.select("bucket", F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("a", "_a"), ("b", "_b")))
+            pairs = left.join(right, "bucket").where("a < b AND _a != _b").select("a", "b")
+        else:
+            pivots = stage(members.where(F.col("id") == F.col("pivot")).select("bucket", F.col("component").alias("_of")), "pivots")
+            others = members.where(F.col("id") != F.col("pivot")).join(pivots, "bucket").where(F.col("component") != F.col("_of"))
+            pairs = others.select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+        new = stage(_linked(stage(pairs.distinct(), "pairs"), bodies, threshold), "links")
         links = new if links is None else links.unionByName(new)
         found = stage(components(links, "a", "b"), "components")
-        members = members.where(F.col("id") != F.col("pivot")).select("bucket", "id")
-        members = stage(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "members")
+        if not last:
+            members = members.where(F.col("id") != F.col("pivot")).select("bucket", "id")
+            members = stage(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "members")
     own = texts.select("content", "id")
     if found is not None:
         own = own.join(found.withColumnRenamed("node", "id"), "id", "left").select("content", F.coalesce("component", "id").alias("class_id"))
