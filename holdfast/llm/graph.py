@@ -12,9 +12,11 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, left: str, right: str, kind: str = "bigint") -> DataFrame:
+def components(links: DataFrame, left: str, right: str, kind: str = "bigint", rounds: int | None = None) -> DataFrame:
     """node and component (its least node) of every node that has a link to another one.
 
+    With ``rounds`` it stops early: nodes of one label then hang together, but not all that do share one.
+
     Large-star and small-star steps alternate until nothing changes: each node's links move to the
     least node it knows. Per node only a minimum is kept, the links join it as narrow rows, and each
     step is written, so a lost executor repeats one step.
@@ -23,7 +25,8 @@ def components(links: DataFrame, left: str, right: str, kind: str = "bigint") ->
     edges = links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges = stage(edges, "links")
     before = _state(edges)
-    while before[0]:
+    while before[0] and (rounds is None or rounds > 0):
+        rounds = rounds - 1 if rounds is not None else None
         both = edges.union(edges.select("v", "u"))
         least = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,5 +38,5 @@ def components(links: DataFrame, left: str, right: str, kind: str = "bigint") ->
         if after == before:
             break
         before = after
-    roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    known = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), "v"))).alias("e"))
+    return known.groupBy(F.col("e.u").alias("node")).agg(F.min("e.v").alias("component"))

@@ -35,7 +35,7 @@ RUN = 5
 BANDS, ROWS = 40, 8
 THRESHOLD = 0.8
 #: Pairs a text up to which all that are left between classes are compared at once.
-PAIRS = 2
+PAIRS = 8
 MAX_WORDS = 500_000
 MARKS = ".,;:!?\"'()[]{}<>*#-_"
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -120,15 +120,17 @@ def bands(winner: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: list[str]) -> dict[str, object]:
-    """content (a digest of the words, null without words) and the band hashes of each text."""
+    """content (a digest of the words, null without words), size (distinct runs) and band hashes of each text."""
     import xxhash
 
     hashes, lengths = word_hashes(texts)
     ends = np.cumsum(lengths).tolist()
     content = [xxhash.xxh3_128_digest(hashes[e - n : e].tobytes()) if n else None for e, n in zip(ends, lengths.tolist())]
-    made = bands(signatures(*runs(hashes, lengths), len(texts)))
+    owner, run, count = runs(hashes, lengths)
+    made = bands(signatures(owner, run, count, len(texts)))
+    size = np.bincount(owner, minlength=len(texts)).astype(np.int32)
     offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
-    return {"content": pa.array(content, pa.binary()), "bands": pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))}
+    return {"content": pa.array(content, pa.binary()), "size": pa.array(size), "bands": pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))}
 
 
 def similarity(left: list[str], right: list[str]) -> np.ndarray:
@@ -153,8 +155,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            # rows of one text follow each other, so its runs are made once for many pairs
+            batch = batch.sort_values(["a", "b"], ignore_index=True)
             left, right = batch["left"].tolist(), batch["right"].tolist()
-            for x, y in slabs([p + q for p, q in zip(left, right)]):
+            for x, y in slabs([q if i and left[i - 1] == p else p + q for i, (p, q) in enumerate(zip(left, right))]):
                 good = similarity(left[x:y], right[x:y]) >= threshold
                 yield batch[["a", "b"]].iloc[x:y][good]
 
@@ -168,12 +172,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     """doc_id, class_id (the least id of its class) and kept (it is that one), a row per document."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_or_empty(text).alias("body"))
     rows = rows.where(F.col("doc_id").isNotNull())
-    sketched = stage(map_texts(rows, sketch, "content binary, bands array<bigint>", text="body"), "sketches")
+    sketched = stage(map_texts(rows, sketch, "content binary, size int, bands array<bigint>", text="body"), "sketches")
     worded = sketched.where(F.col("content").isNotNull())
     # one text per content; copies only count through the least id
-    texts = worded.groupBy("content").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"))
+    texts = worded.groupBy("content").agg(F.min("doc_id").alias("id"), F.min("size").alias("size"), F.min("bands").alias("bands"))
     texts = stage(texts, "distinct-texts")
-    placed = texts.select("id", F.explode("bands").alias("bucket"))
+    placed = texts.select("id", "size", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stage(placed.join(stage(shared, "shared-buckets"), "bucket"), "members")
     wanted = stage(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
@@ -182,6 +186,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
 
     members = members.withColumn("component", F.col("id"))
     few = texts.count()
+
+    def alike(one: str, other: str):
+        # sets of such similarity cannot differ more in size
+        return F.least(one, other) >= threshold * F.greatest(one, other) - 1e-9
+
     links, found, last = None, None, False
     while not last:
         by_class = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min("id").alias("least"))
@@ -190,21 +199,24 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
         buckets = stage(buckets.where("classes > 1").select("bucket", "pivot", "pairs"), "open-buckets")
         total = buckets.agg(F.sum("pairs")).first()[0]
         if total is None:
+            if links is not None:
+                found = stage(components(links, "a", "b"), "components")
             break
         members = stage(members.join(buckets.select("bucket", "pivot"), "bucket"), "members")
         last = total <= PAIRS * few
         if last:
-            left, right = (members.select("bucket", F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("a", "_a"), ("b", "_b")))
-            pairs = left.join(right, "bucket").where("a < b AND _a != _b").select("a", "b")
+            left, right = (members.select("bucket", F.col("id").alias(i), F.col("component").alias(f"_{i}"), F.col("size").alias(f"_n{i}")) for i in "ab")
+            pairs = left.join(right, "bucket").where("a < b AND _a != _b").where(alike("_na", "_nb")).select("a", "b")
         else:
-            pivots = stage(members.where(F.col("id") == F.col("pivot")).select("bucket", F.col("component").alias("_of")), "pivots")
-            others = members.where(F.col("id") != F.col("pivot")).join(pivots, "bucket").where(F.col("component") != F.col("_of"))
+            pivots = stage(members.where(F.col("id") == F.col("pivot")).select("bucket", F.col("component").alias("_of"), F.col("size").alias("_n")), "pivots")
+            others = members.where(F.col("id") != F.col("pivot")).join(pivots, "bucket").where((F.col("component") != F.col("_of")) & alike("size", "_n"))
             pairs = others.select(F.col("pivot").alias("a"), F.col("id").alias("b"))
         new = stage(_linked(stage(pairs.distinct(), "pairs"), bodies, threshold), "links")
         links = new if links is None else links.unionByName(new)
-        found = stage(components(links, "a", "b"), "components")
+        # between rounds a few steps do: what they leave apart is only compared once more
+        found = stage(components(links, "a", "b", rounds=None if last else 2), "components")
         if not last:
-            members = members.where(F.col("id") != F.col("pivot")).select("bucket", "id")
+            members = members.where(F.col("id") != F.col("pivot")).select("bucket", "id", "size")
             members = stage(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "members")
     own = texts.select("content", "id")
     if found is not None:
