@@ -114,7 +114,7 @@ DERIVED = {
                30e0 + {_draw("lat", 2000)} / 100e0 as hs_latitude,
                -120e0 + {_draw("lon", 4000)} / 100e0 as hs_longitude,
                2019 + o_orderkey % 3 as cohort_year,
-               case when {_draw("note", 100)} < 15 then concat('ID checked against ',
+               case when {_draw("note", 100)} < 15 then concat('SSN on file is ',
                     {_digits(_draw("s1", 1000), 3)}, '-', {_digits(_draw("s2", 100), 2)}, '-',
                     {_digits(_draw("s3", 10000), 4)}) end as notes,
                case when {_draw("line", 100)} < 5 then concat('Reach at (', 200 + {_draw("p1", 800)}, ') ',
