@@ -89,3 +89,26 @@ def test_empty_tables(spark, documents, case):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.repeated_items(documents(docs), none).count() == 0
     assert decontaminate.repeated_items(documents([]), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_a_mask_fits_every_repeated_item():
+    bits = [sum(1 << o for o in m) for m in decontaminate.MASKS]
+    for n in range(9, 18):  # longer items are made of such pieces
+        for equal in range(1 << n):
+            if 10 * equal.bit_count() >= 7 * n:
+                assert any(equal >> at & b == b for b in bits for at in range(n - b.bit_length() + 1)), (n, bin(equal))
+
+
+def test_replacements_equal_brute_force(spark, documents):
+    rnd = random.Random(21)
+    items, docs = [], []
+    for n in [*range(9, 22), 26, 33, 40]:
+        lost = [[k for k in range(n) if k % every == phase] for every in (4, 5, 7) for phase in range(every)]
+        lost += [rnd.sample(range(n), n * share // 100) for share in (10, 20, 25, 30, 30, 30, 40)]
+        items.append((n, " ".join(f"q{n}x{k}" for k in range(n))))
+        for gone in lost:
+            body = [f"q{n}x{k}" if k not in gone else "other" for k in range(n)]
+            docs.append((len(docs), " ".join(["pre"] * rnd.randrange(3) + body + ["post"] * rnd.randrange(3))))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.repeated_items(documents(docs), frame).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == brute(docs, items)
