@@ -31,7 +31,7 @@ from holdfast.llm.common import join_small, map_texts, slabs, stage, text_or_emp
 from holdfast.llm.graph import components
 
 RUN = 5
-#: Bands and registers a band: two texts of similarity 0.8 share a band with probability 0.9994.
+#: Bands and registers a band: two texts of similarity 0.8 share a band of their plain sets with probability 0.9994.
 BANDS, ROWS = 40, 8
 THRESHOLD = 0.8
 #: Pairs a text up to which all that are left between classes are compared at once.
@@ -120,7 +120,8 @@ def bands(winner: np.ndarray) -> np.ndarray:
 
 
 def sketch(texts: list[str]) -> dict[str, object]:
-    """content (a digest of the words, null without words), size (distinct runs) and band hashes of each text."""
+    """content (a digest of the words, null without words), size (distinct runs) and band hashes of each text,
+    those of its weighted runs and, where they differ, those of its plain set."""
     import xxhash
 
     hashes, lengths = word_hashes(texts)
@@ -129,8 +130,17 @@ def sketch(texts: list[str]) -> dict[str, object]:
     owner, run, count = runs(hashes, lengths)
     made = bands(signatures(owner, run, count, len(texts)))
     size = np.bincount(owner, minlength=len(texts)).astype(np.int32)
-    offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
-    return {"content": pa.array(content, pa.binary()), "size": pa.array(size), "bands": pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))}
+    # texts in which a run recurs once more, as plain sets
+    again = np.unique(owner[count > 1])
+    of = np.isin(owner, again)
+    plain = bands(signatures(np.searchsorted(again, owner[of]), run[of], np.ones(int(of.sum())), len(again)))
+    added = plain != made[again]
+    kept = np.concatenate([np.ones(made.shape, bool), np.zeros(made.shape, bool)], axis=1)
+    kept[again, BANDS:] = added
+    both = np.concatenate([made, made], axis=1)
+    both[again, BANDS:] = plain
+    offsets = pa.array(np.append(0, np.cumsum(kept.sum(axis=1))).astype(np.int32))
+    return {"content": pa.array(content, pa.binary()), "size": pa.array(size), "bands": pa.ListArray.from_arrays(offsets, pa.array(both[kept]))}
 
 
 def similarity(left: list[str], right: list[str]) -> np.ndarray:

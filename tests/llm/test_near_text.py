@@ -116,3 +116,30 @@ def test_components(spark):
 
 def test_words_are_bare():
     assert re.match(r"\w", "a") and bare('The, "END!" ...') == ["the", "end", "..."]
+
+
+def test_copies_in_which_a_passage_recurs(documents):
+    rnd = random.Random(12)
+    rows = []
+    for times in (2, 3, 10, 100):
+        for _ in range(25):
+            base = [f"word{rnd.randrange(3000)}" for _ in range(120)]
+            other = list(base)
+            for at in rnd.sample(range(5, 120, 10), 2):
+                other[at] = "changed"
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other[:60] * times + other[60:]))]
+    want = classes(rows)
+    assert all(want[i + 1] == i for i in range(0, len(rows), 2))
+    got = {r["doc_id"]: r["class_id"] for r in near_text.near_copies(documents(rows)).collect()}
+    assert got == want
+
+
+def test_bands_of_texts_with_and_without_repeats():
+    once, twice = "a b c d e f g h", "p q r s t p q r s t p q r s t u"
+    made = near_text.sketch(["", once, twice, once])["bands"].to_pylist()
+    assert len(made[1]) == near_text.BANDS and made[1] == made[3]
+    assert near_text.BANDS < len(made[2]) <= 2 * near_text.BANDS and len(set(made[2])) == len(made[2])
+    # the plain set is that of a text in which each of these runs comes once
+    owner, run, count = near_text.runs(*near_text.word_hashes([twice]))
+    plain = near_text.bands(near_text.signatures(owner, run, np.ones(len(run)), 1))[0].tolist()
+    assert set(plain) <= set(made[2])
