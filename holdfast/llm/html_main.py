@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import join_small, map_texts, spark_schema, stage, text_or_empty
+from holdfast.llm.common import join_small, known, map_texts, spark_schema, stage, text_or_empty
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -225,31 +225,60 @@ def host(url: str = "url") -> Column:
     return F.when(name != "", name)
 
 
-def site_templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = 0.3, least: int = 5) -> DataFrame:
-    """host and templates (hashes of the subtrees in ``share`` of its different pages, ``least`` at least).
-
-    A page counts once for all pages with its main text. The hashes of a host are at most the mean number
-    of subtrees of a page divided by ``share``.
-    """
-    rows = pages.select(host(url).alias("host"), text_or_empty(html).alias("page")).where(F.col("host").isNotNull())
+def page_subtrees(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """host, key (a digest of the page), text (a digest of its main text) and parts (subtree hashes) of every page with a host."""
+    rows = pages.select(host(url).alias("host"), text_or_empty(html).alias("page")).where(F.col("host").isNotNull()).withColumn("key", F.md5("page"))
 
     def work(texts: list[str]) -> dict:
         made = [subtrees(t) for t in texts]
         return {"text": pa.array([m[0] for m in made], pa.int64()), "parts": pa.array([m[1] for m in made], pa.list_(pa.int64()))}
 
-    read = stage(map_texts(rows, work, "text bigint, parts array<bigint>", text="page"), "subtrees")
+    return map_texts(rows, work, "text bigint, parts array<bigint>", text="page")
+
+
+def site_templates(read: DataFrame, share: float = 0.3, least: int = 5, many: int = 50) -> DataFrame:
+    """host and part: the subtrees in ``share`` of the different pages of a host, ``least`` at least, or in ``many``.
+
+    A page counts once for all pages with its main text. On a large host a box of one section or layout is in a
+    small share of the pages, so a number of pages tells there.
+    """
     totals = read.select("host", "text").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     parts = read.select("host", "text", F.explode("parts").alias("part")).distinct().groupBy("host", "part").agg(F.count(F.lit(1)).alias("n"))
-    many = parts.join(totals, "host").where((F.col("n") >= least) & (F.col("n") >= share * F.col("pages")))
-    return many.groupBy("host").agg(F.collect_list("part").alias("templates"))
+    found = parts.where(F.col("n") >= least).join(totals, "host")
+    return found.where((F.col("n") >= many) | (F.col("n") >= share * F.col("pages"))).select("host", "part")
 
 
-def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def _own_templates(rows: DataFrame, read: DataFrame, found: DataFrame, long: int, bound: int) -> DataFrame:
+    """The rows with templates, the hashes that go from their page.
+
+    Hosts of up to ``long`` templates have one array. The subtrees of pages of other hosts are joined with the
+    templates as narrow rows, so a page gets those that it has itself.
+    """
+    sizes = stage(found.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "template-counts")
+    large = stage(sizes.where(F.col("n") > long).select("host"), "large-hosts")
+    short = stage(join_small(found, large, "host", "left_anti").groupBy("host").agg(F.collect_list("part").alias("templates")), "templates")
+    # a broadcast holds at most ``bound`` hashes; beyond that pages are shuffled by host
+    total = sizes.where(F.col("n") <= long).agg(F.sum("n")).first()[0] or 0
+    out = rows.join(F.broadcast(short) if total <= bound else short, "host", "left")
+    if large.isEmpty():
+        return out
+    parts = join_small(read, large, "host", "left_semi").select("host", "key", F.explode("parts").alias("part")).distinct()
+    own = join_small(parts, found, ["host", "part"], "inner").groupBy("host", "key").agg(F.collect_list("part").alias("own"))
+    own = stage(own, "page-templates")
+    of_large = F.broadcast(large) if known(large, bound) else large
+    few, many = out.join(of_large, "host", "left_anti"), out.join(of_large, "host", "left_semi")
+    told = join_small(many.withColumn("key", F.md5("page")), own, ["host", "key"], "left").withColumn("templates", F.col("own"))
+    return few.unionByName(told.select(*few.columns))
+
+
+def extract(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", many: int = 50, long: int = 2_000, bound: int = 1_000_000
+) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
-    templates = stage(site_templates(pages, url, html), "templates")
+    read = stage(page_subtrees(pages, url, html), "subtrees")
+    found = stage(site_templates(read, many=many), "template-rows")
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), host(url).alias("host"), text_or_empty(html).alias("page"))
-    # a broadcast holds as many rows as there are hosts with templates; beyond the bound pages are shuffled by host
-    rows = join_small(rows, templates, "host", "left", 50_000).drop("host")
+    rows = _own_templates(rows, read, found, long, bound).drop("host")
     schema = spark_schema("text string")
     kept = [f for f in rows.schema.fields if f.name in ("page_id", "url")]
     out = type(rows.schema)(kept + schema.fields)

@@ -56,3 +56,22 @@ def test_paragraphs_of_articles_are_no_templates(spark):
 
 def test_empty_table(spark):
     assert html_main.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("long", [2_000, 0])
+def test_boxes_of_one_section_of_a_large_host_go(spark, long):
+    def page(n):
+        box = "<div><p>Offer of the section</p></div>" if n % 4 == 0 else ""
+        rare = "<div><p>Said twice</p></div>" if n in (1, 2) else ""
+        return f"<body><div><h1>Story {n}</h1><p>Body of {n}.</p></div>{box}{rare}<div><span>Brand bar</span></div></body>"
+
+    pages = [(n, f"http://large.example/s{n % 4}/{n}", page(n)) for n in range(400)]
+    pages += [(None, "http://large.example/s0/0", page(0)), (1000, None, page(0)), (1001, "http://other.example/", page(0)), (1002, "http://large.example/", None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = html_main.extract(frame, long=long).collect()
+    got = {r["page_id"]: r["text"] for r in rows}
+    assert len(rows) == len(pages) and got[1002] == ""
+    for n in range(400):
+        assert got[n] == f"Story {n}\nBody of {n}." + ("\nSaid twice" if n in (1, 2) else "")
+    assert got[None] == got[0]
+    assert got[1000] == got[1001] == "Story 0\nBody of 0.\nOffer of the section\nBrand bar"
