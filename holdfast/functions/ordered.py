@@ -111,6 +111,19 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
     )
 
 
+def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """All rows with the last non-null value among the key's rows up to the current one, NULL before the first."""
+    placed, by = _with_buckets(df, keys, order[0], [value])
+    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = placed.select("*", F.last(value, ignorenulls=True).over(inside).alias("_in"))
+    at = F.when(F.col(value).isNotNull(), F.struct(*order))
+    last = placed.groupBy(*by, "_bucket").agg(F.max_by(value, at).alias("_last"))
+    before = _earlier_buckets(by).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = last.select(*by, "_bucket", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    told = _add_offsets(local, offsets, by)
+    return told.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("_in", "_before").alias(name))
+
+
 def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """All rows with the value of the key's row just before, NULL on its first row."""
     placed, by = _with_buckets(df, keys, order[0])

@@ -268,5 +268,5 @@ def stream_cache_lookup(spark, sf):
         F.when(bought, (F.col("value") > 50).cast("int")).alias("predicted_class"),
         F.when(bought, F.col("value") / 500).alias("probability"),
     )
-    looked = jobs.with_state_store(spark, lambda: jobs.drain_rows(jobs.cache_stream(rows, 21600), "lookups"))
+    looked = jobs.looked_up(rows, 21600)
     return looked.select("entity", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "hit", "predicted_class")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from holdfast.functions.ordered import running_last
 from holdfast.operators import drift
 from holdfast.session import fresh_path
 from holdfast.sources.messages import encode
@@ -132,9 +133,8 @@ class AnswerCache(StatefulProcessor):
     """Last answer per entity, forgotten after its time to live; requests get a hit or a miss.
 
     Input rows: entity, ts, seq, predicted_class, probability; rows without a class are requests, and
-    seq orders rows of one time. The rows of an entity in a batch are put in order once, however many
-    chunks they come in, so a source should bound its batches (``files_per_batch``). State is read and
-    written once a batch; an event-time timer clears an answer that can no longer be used.
+    seq orders rows of one time. The rows of an entity in a batch are put in order once, in memory, however many
+    chunks they come in; ``cache_lookups`` has no such bound. State is read and written once a batch; an event-time timer clears an answer that can no longer be used.
     """
 
     def __init__(self, ttl_seconds: int):
@@ -211,3 +211,52 @@ def cache_stream(rows: DataFrame, ttl_seconds: int = 3600, delay: str = "10 minu
         .groupBy("entity")
         .transformWithStateInPandas(AnswerCache(ttl_seconds), LOOKUPS, "Append", "EventTime")
     )
+
+
+def cache_lookups(rows: DataFrame, path: str, held_path: str, checkpoint: str, ttl_seconds: int = 3600, delay_seconds: int = 600) -> None:
+    """``cache_stream`` without an entity's rows in one task: lookups go to a folder per batch under ``path``.
+
+    The last answer is carried over each entity's rows by blocks of time, so of an entity only a row per block
+    meets in one task. Answers that are still of use are kept from batch to batch, one row per entity, in two
+    folders by turns: a repeated batch finds what the one before it left.
+    """
+    spark = rows.sparkSession
+    if "seq" not in rows.columns:
+        rows = rows.withColumn("seq", F.lit(0).cast("bigint"))
+    rows = rows.select("entity", "ts", "seq", "predicted_class", "probability")
+    answer = F.struct("ts", "seq", "predicted_class", "probability")
+    kept = T.StructType([*rows.schema.fields, T.StructField("seen", T.TimestampType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            seen = batch.agg(F.max("ts").alias("seen"))
+            every = batch
+            if batch_id:
+                before = spark.read.schema(kept).parquet(f"{held_path}/turn={(batch_id - 1) % 2}")
+                seen = seen.unionByName(before.select("seen")).agg(F.max("seen").alias("seen"))
+                every = every.unionByName(before.drop("seen"))
+            every = every.withColumn("answer", F.when(F.col("predicted_class").isNotNull(), answer))
+            told = running_last(every, ["entity"], ["ts", "seq"], "answer", "last").where(F.col("predicted_class").isNull())
+            age = F.unix_micros("ts") - F.unix_micros("last.ts")
+            told = told.withColumn("hit", F.coalesce(age < ttl_seconds * 1_000_000, F.lit(False)))
+            found = [F.when(F.col("hit"), F.col(f"last.{c}")).alias(c) for c in ("predicted_class", "probability")]
+            told.select("entity", "ts", "hit", *found).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            newest = every.where("answer IS NOT NULL").groupBy("entity").agg(F.max_by("answer", F.struct("ts", "seq")).alias("answer"))
+            newest = newest.select("entity", "answer.*").crossJoin(F.broadcast(seen))
+            # what is older than any request that may still come by more than its time to live
+            newest = newest.where(F.unix_micros("ts") + (ttl_seconds + delay_seconds) * 1_000_000 > F.unix_micros("seen"))
+            newest.write.mode("overwrite").parquet(f"{held_path}/turn={batch_id % 2}")
+        finally:
+            batch.unpersist()
+
+    drain(rows, path, checkpoint, "append", write)
+
+
+def looked_up(rows: DataFrame, ttl_seconds: int, label: str = "lookups") -> DataFrame:
+    """Run ``cache_lookups`` to its end and return the rows it wrote."""
+    spark = rows.sparkSession
+    out, held, checkpoint = (fresh_path(spark, f"{label}{c}") for c in ("", "-held", "-checkpoint"))
+    cache_lookups(rows, out, held, checkpoint, ttl_seconds)
+    entity = rows.schema["entity"].dataType.simpleString()
+    return spark.read.schema(LOOKUPS.replace("entity bigint", f"entity {entity}")).parquet(out)

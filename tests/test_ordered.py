@@ -68,3 +68,16 @@ def test_dense_index_is_a_numbering(spark):
     assert sorted(got["row_index"]) == list(range(len(got)))
     again = ordered.dense_index(fixed).toPandas()
     assert dict(zip(got["id"], got["row_index"])) == dict(zip(again["id"], again["row_index"]))
+
+
+def test_running_last_cuts_a_key_into_blocks(spark):
+    rows = [(None if i % 7 == 0 else 1, (i * 37) % 2000, i, i if i % 9 == 0 else None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k bigint, t bigint, seq bigint, v bigint")
+    got = ordered.running_last(df, ["k"], ["t", "seq"], "v", "last").collect()
+    want, held = {}, {}
+    for k, t, seq, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        held[k] = v if v is not None else held.get(k)
+        want[seq] = held[k]
+    assert {r["seq"]: r["last"] for r in got} == want and len(got) == len(rows)
+    placed, by = ordered._with_buckets(df, ["k"], "t", ["v"])
+    assert max(r["count"] for r in placed.groupBy(*by, "_bucket").count().collect()) < len(rows) / 2

@@ -140,3 +140,30 @@ def test_cache_with_many_shuffled_rows_of_one_entity(spark):
             hit = held is not None and at - held[0] < 60
             want.append((at, hit, held[1] if hit else None, held[2] if hit else None))
     assert got == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_lookups_without_an_entity_in_one_task(spark, files_per_batch):
+    import random
+
+    rnd = random.Random(5)
+    rows = sorted((at, i) for i, at in enumerate(rnd.choices(range(100_000), k=6_000)))
+    rows = [(7 if k % 3 else k % 40, at, i, rnd.randrange(2) if rnd.random() < 0.1 else None) for k, (at, i) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "entity bigint, at bigint, seq bigint, predicted_class int").select(
+        "entity", F.timestamp_seconds(F.col("at") + 1704067200).alias("ts"), "seq", "predicted_class",
+        F.when(F.col("predicted_class").isNotNull(), F.col("seq") / 1e6).alias("probability"),
+    )
+    path = fresh_path(spark, "lookups-in")
+    # batches by time, one file each
+    for k in range(4):
+        df.where(f"floor((unix_seconds(ts) - 1704067200) / 25000) = {k}").coalesce(1).write.mode("append").parquet(path)
+    found = jobs.looked_up(jobs.file_stream(spark, path, df.schema, files_per_batch), 600).selectExpr("*", "unix_timestamp(ts) - 1704067200 as at").collect()
+    got = [(r["entity"], r["at"], r["hit"], r["predicted_class"], r["probability"]) for r in found]
+    want, held = [], {}
+    for entity, at, seq, label in sorted(rows, key=lambda r: (r[1], r[2])):
+        if label is not None:
+            held[entity] = (at, label, seq / 1e6)
+        else:
+            hit = entity in held and at - held[entity][0] < 600
+            want.append((entity, at, hit, held[entity][1] if hit else None, held[entity][2] if hit else None))
+    assert sorted(got, key=str) == sorted(want, key=str)
