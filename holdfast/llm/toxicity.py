@@ -283,15 +283,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int, chars: int) -> tuple[list[str], list[int], float | None]:
+def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, rows: int) -> tuple[list[str], list[int], float | None]:
     """Up to ``rows`` labelled texts of each class that are not held out, chosen by a hash of their id, and
     the odds of toxic to clean among all such texts.
 
-    This is the bound of the sample, with ``chars`` characters of a text at most; scoring has no bound.
+    This is the only bound: each chosen text is whole, as it is scored.
     """
     told = labels.where(F.col(label).isin(0, 1) & ~held_out(doc_id) & F.col(doc_id).isNotNull())
     told = told.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
-    body = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.substring(text_or_empty(text), 1, chars).alias("_body"))
+    body = docs.select(F.col(f"`{doc_id}`").alias("_id"), text_or_empty(text).alias("_body"))
     present = told.join(docs.select(F.col(f"`{doc_id}`").alias("_id")).distinct(), "_id", "left_semi")
     counts = dict(present.groupBy("_label").count().collect())
     chosen: list[tuple] = []
@@ -306,9 +306,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     return [r["_body"] for r in found], [r["_label"] for r in found], odds
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = 1200, sample_chars: int = 10_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = 1200) -> Model:
     """A model fitted on a bounded sample of the labelled documents that are not held out."""
-    return fit(*training_sample(docs, labels, doc_id, text, label, sample_rows, sample_chars))
+    return fit(*training_sample(docs, labels, doc_id, text, label, sample_rows))
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", score: str = "score", spans: str | None = "spans") -> DataFrame:

@@ -94,3 +94,22 @@ def test_odd_rows(spark, documents, odd):
 def test_copies_in_the_sample_count_once():
     text = " ".join(f"w{k}" for k in range(60))
     assert toxicity.distinct_texts([text, text, text + " more", "something else entirely", ""]) [:2] == [0, 3]
+
+
+def test_training_reads_long_texts_whole(spark, documents):
+    rnd = random.Random(8)
+    clean = lambda n: [f"plain{rnd.randrange(600)}" for _ in range(n)]
+    rows = []
+    for i in range(240):
+        body = clean(1600 if i % 3 == 0 else 60)
+        if i % 4 == 0:  # toxic words come after character 10,000 in long texts
+            body[-3:-3] = ["vileman", "rotten"]
+        rows.append((i, " ".join(body), int(i % 4 == 0)))
+    assert all(len(t) > 10_000 and t.find("vileman") > 10_000 for i, t, toxic in rows if toxic and i % 3 == 0)
+    docs = documents([r[:2] for r in rows])
+    labels = spark.createDataFrame([(i, 0, toxic) for i, _, toxic in rows], "doc_id long, quality int, toxic int")
+    texts, _, _ = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", 1200)
+    assert sorted(texts) == sorted(t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2)
+    model = toxicity.train(docs, labels)
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+    assert all((scored[i] >= toxicity.THRESHOLD) == bool(toxic) for i, _, toxic in rows)
