@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, html_main, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
+from holdfast.llm import decontaminate, html_main, merkle, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,58 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as web archive records, read back by way of the capture index."""
     captures = warc.archive(table(spark, sf_dir, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a short ASCII text: each byte is mixed in, then eight single steps follow."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, x: {step}), 4294967295)"
+
+
+def _merkle_sql() -> str:
+    told = {f: f"coalesce(octet_length(encode(CAST({f} AS VARCHAR))) || ':' || CAST({f} AS VARCHAR), '-')" for f in merkle.FIELDS}
+    held = told | {"text": "coalesce(octet_length(encode(held)) || ':' || held, '-')"}
+    return f"""
+        WITH RECURSIVE d AS (
+            SELECT *, CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS held FROM documents),
+        l AS (SELECT doc_id, source, sha256({' || '.join(told.values())}) AS leaf, sha256({' || '.join(held.values())}) AS held FROM d),
+        leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM l),
+        up AS (
+            SELECT source, CAST(0 AS BIGINT) AS level, place, leaf AS node, n FROM leaves
+            UNION ALL
+            SELECT source, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY source, level, n, place // 3),
+        tops AS (SELECT source, level AS height, node AS subroot FROM up WHERE n = 1),
+        groups AS (
+            SELECT *, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tops),
+        above AS (
+            SELECT CAST(0 AS BIGINT) AS level, place, subroot AS node, n FROM groups
+            UNION ALL
+            SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY level, n, place // 3),
+        runs AS (SELECT source, level, place // 3 AS run, list(node ORDER BY place) AS nodes FROM up WHERE n > 1 GROUP BY source, level, place // 3),
+        high AS (SELECT level, place // 3 AS run, list(node ORDER BY place) AS nodes FROM above WHERE n > 1 GROUP BY level, place // 3),
+        steps AS (
+            SELECT r.source, r.level, r.run, CAST(NULL AS BIGINT) AS own, r.nodes FROM runs r
+            UNION ALL
+            SELECT g.source, g.height + h.level, h.run, CAST(g.place // CAST(power(3, h.level) AS BIGINT) AS BIGINT), h.nodes
+            FROM groups g JOIN high h ON h.run = g.place // CAST(power(3, h.level + 1) AS BIGINT)),
+        folded AS (
+            SELECT doc_id, source, CAST(0 AS BIGINT) AS level, place, held AS node, '' AS siblings FROM leaves
+            UNION ALL
+            SELECT f.doc_id, f.source, f.level + 1, f.place // 3,
+                   sha256(array_to_string(s.nodes[1:coalesce(s.own, f.place) % 3], '') || f.node || array_to_string(s.nodes[coalesce(s.own, f.place) % 3 + 2:], '')),
+                   f.siblings || array_to_string(s.nodes[1:coalesce(s.own, f.place) % 3], '') || array_to_string(s.nodes[coalesce(s.own, f.place) % 3 + 2:], '')
+            FROM folded f JOIN steps s ON f.source IS NOT DISTINCT FROM s.source AND f.level = s.level AND (s.own IS NOT NULL OR s.run = f.place // 3)),
+        ends AS (SELECT doc_id, arg_max(node, level) AS folded_root, arg_max(siblings, level) AS siblings FROM folded GROUP BY doc_id),
+        root AS (SELECT node AS root FROM above WHERE n = 1)
+        SELECT l.doc_id, l.leaf, t.subroot, r.root, sha256(e.siblings) AS proof_sha256, e.folded_root, e.folded_root = r.root AS verified
+        FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source JOIN ends e ON l.doc_id = e.doc_id CROSS JOIN root r"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and the proof of each against a copy that lost its line ends in places."""
+    lost = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    made = merkle.manifest(table(spark, sf_dir, "documents"), held={"text": F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))})
+    return merkle.audit(made).withColumnRenamed("name", "doc_id")
