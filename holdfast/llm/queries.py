@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, html_main, merkle, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
+from holdfast.llm import decontaminate, fingerprints, html_main, merkle, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     made = merkle.manifest(table(spark, sf_dir, "documents"), held={"text": F.when(lost, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))})
     return merkle.audit(made).withColumnRenamed("name", "doc_id")
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited_documents(table(spark, sf_dir, "documents"))
