@@ -62,9 +62,15 @@ def known(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def bounded(df: DataFrame, texts: list[str], rows: int = 20_000, size: int = 4_000_000) -> bool:
+    """Whether a written table is within bounds of rows and of the bytes of its text columns."""
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum((F.octet_length(F.coalesce(t, F.lit(""))) for t in texts), F.lit(0))), F.lit(0))).first()
+    return n <= rows and total <= size
+
+
 def join_small(left: DataFrame, right: DataFrame, on, how: str, rows: int = 200_000) -> DataFrame:
     """Join with a written table: broadcast up to ``rows`` rows, a shuffled join beyond."""
     return left.join(F.broadcast(right) if known(right, rows) else right, on, how)
 
 
-__all__ = ["SLAB", "DataFrame", "SparkSession", "fresh_path", "join_small", "known", "map_texts", "slabs", "spark_schema", "stage", "text_or_empty"]
+__all__ = ["SLAB", "DataFrame", "SparkSession", "bounded", "fresh_path", "join_small", "known", "map_texts", "slabs", "spark_schema", "stage", "text_or_empty"]

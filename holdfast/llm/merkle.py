@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import spark_schema, stage
+from holdfast.llm.common import bounded, spark_schema, stage
 from holdfast.llm.ordering import numbered
 
 #: Children of a node, levels that a task builds at once, and so the leaves of a block.
@@ -126,12 +126,6 @@ def height(n: int) -> int:
     return levels
 
 
-def small(df: DataFrame, text: str, rows: int = 20_000, size: int = 4_000_000) -> bool:
-    """Whether a written table is within bounds of rows and of bytes of its one text column."""
-    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
-    return n <= rows and total <= size
-
-
 def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "source", key: str = "doc_id", held: dict[str, Column] | None = None) -> Manifest:
     """The trees of a table; ``held`` gives columns as a copy under audit holds them."""
     own = [F.col(f"`{f}`") for f in fields]
@@ -148,7 +142,7 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "so
     trees = placed.groupBy("grouped").agg(F.min("place").alias("base"), F.count(F.lit(1)).alias("n"))
     # groups are in order of their first leaves
     trees = stage(numbered(stage(trees, "groups"), [F.col("base").asc()], "tree", "ordered-groups"), "trees")
-    sizes = F.broadcast(trees) if small(trees, "grouped") else trees
+    sizes = F.broadcast(trees) if bounded(trees, ["grouped"]) else trees
     rows = placed.alias("l").join(sizes.alias("t"), F.col("l.grouped").eqNullSafe(F.col("t.grouped")))
     rows = rows.select("tree", "n", (F.col("place") - F.col("base")).alias("place"), "name", "digest", "held")
     blocks = stage(_blocks(rows, ["name", "digest", "held"]), "blocks")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import decontaminate, fingerprints, html_main, merkle, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
+from holdfast.llm import decontaminate, divergence, fingerprints, html_main, merkle, near_text, near_vectors, rans, secrets, sentencepieces, token_counts, toxicity, warc
 from holdfast.llm.common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,33 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprints.edited_documents(table(spark, sf_dir, "documents"))
+
+
+_DIVERGENCE_SQL = """
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+    t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS word FROM d),
+    w AS (SELECT r, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM t),
+    c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+    k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+    v AS (SELECT lang, count(*) AS kept, sum(n) AS total FROM k GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    grid AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS of_lang FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    sums AS (SELECT lang, source, sum(n) AS total FROM grid GROUP BY ALL),
+    p AS (SELECT grid.lang, grid.source, term, n,
+                 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sums.total + 5 * kept) AS p,
+                 1 + (CAST(1000000000 AS HUGEINT) * (of_lang + 5)) // (v.total + 5 * kept) AS q
+          FROM grid JOIN sums USING (lang, source) JOIN v USING (lang)),
+    apart AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+    rows AS (
+        SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(apart.value, 0) AS BIGINT) AS value
+        FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN apart ON apart.lang = x.lang AND apart.source = x.source AND apart.item = y.source
+        UNION ALL
+        SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM rows)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+@query("op12_source_divergence", _DIVERGENCE_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and their most telling terms, over all documents."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
