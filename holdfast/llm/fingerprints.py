@@ -32,8 +32,8 @@ BUCKETS = 512
 UNRELATED = 1.25
 #: Length steps that count, and the share of the whole difference that they make up at most.
 LENGTH_STEPS, LENGTH_SHARE = 32, 0.25
-#: Bytes of text that a task puts in order at once.
-BLOCK_BYTES = 32_000_000
+#: Bytes of text of a block, which one task puts in order.
+BLOCK_BYTES = 16_000_000
 _FACTOR = np.uint32(0x9E3779B1)
 
 
@@ -123,13 +123,24 @@ def edited_documents(docs: DataFrame, share: int = 3, doc_id: str = "doc_id", te
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_or_empty(text).alias("body")).withColumn("hashed", F.xxhash64("body"))
     keys = stage(rows.select("doc_id", "hashed", F.octet_length("body").cast("long").alias("size")), "text-keys")
-    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     order = [F.col("doc_id").desc_nulls_last(), F.col("hashed").asc()]
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    ordered = keys.repartitionByRange(blocks, *order)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), (-F.col("doc_id")).alias("down"), "hashed", "doc_id"))
-    firsts = ordered.groupBy(F.spark_partition_id().alias("p")).agg(first.alias("f")).select("f.doc_id", "f.hashed").collect()
-    bounds = sorted(_key(*f) for f in firsts)
+    ordered = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, 0
+        for batch in batches:
+            firsts = []
+            for doc_id, hashed, size in zip(*(c.to_pylist() for c in batch.columns)):
+                key = (doc_id, hashed)
+                if last is None or (key != last and total + size > BLOCK_BYTES):
+                    firsts.append(key)
+                    total = 0
+                last, total = key, total + size
+            columns = zip(*firsts) if firsts else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "hashed"])
+
+    # a row a block of texts, by their bytes
+    bounds = sorted(_key(*f) for f in ordered.mapInArrow(cut, "doc_id bigint, hashed bigint").collect())
     spread = spark_schema("block int, guest boolean, doc_id bigint, hashed bigint, body string, mark binary")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +160,8 @@ def edited_documents(docs: DataFrame, share: int = 3, doc_id: str = "doc_id", te
                     yield pa.RecordBatch.from_arrays([pa.array(before, pa.int32()), pa.array([True] * len(at)), *moved], names=spread.names)
 
     placed = rows.select("doc_id", "hashed", "body").mapInArrow(deal, spread)
-    inside = placed.repartition("block").sortWithinPartitions("block", "guest", *order)
+    # one block a task, where hashes of their numbers would put some together
+    inside = placed.repartitionById(max(1, len(bounds)), "block").sortWithinPartitions("block", "guest", *order)
     told = spark_schema("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
