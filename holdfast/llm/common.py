@@ -19,6 +19,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def slabs(texts: list[str], limit: int = SLAB) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows with about ``limit`` characters, one row at least."""
     start = size = 0
@@ -31,8 +39,9 @@ def slabs(texts: list[str], limit: int = SLAB) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], schema: str, text: str = "text", keep: bool = False) -> DataFrame:
-    """Every column of ``df`` (``text`` only if kept), and the columns of ``schema`` that ``work`` makes of the texts."""
+def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], schema: str, text: str = "text", keep: bool = False, limit: int = SLAB) -> DataFrame:
+    """Every column of ``df`` (``text`` only if kept), and the columns of ``schema`` that ``work`` makes of the texts,
+    of about ``limit`` characters at once. Null is handed on as empty."""
     kept = [f for f in df.schema.fields if keep or f.name != text]
     added = spark_schema(schema)
     out = type(df.schema)(kept + added.fields)
@@ -40,8 +49,8 @@ def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], sch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            for a, b in slabs(texts):
+            texts = [t if t is not None else "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            for a, b in slabs(texts, limit):
                 made = work(texts[a:b])
                 part = batch.slice(a, b - a)
                 arrays = [part.column(part.schema.get_field_index(n)) for n in names]
@@ -73,4 +82,4 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str, rows: int = 200_
     return left.join(F.broadcast(right) if known(right, rows) else right, on, how)
 
 
-__all__ = ["SLAB", "DataFrame", "SparkSession", "bounded", "fresh_path", "join_small", "known", "map_texts", "slabs", "spark_schema", "stage", "text_or_empty"]
+__all__ = ["SLAB", "DataFrame", "SparkSession", "bounded", "fresh_path", "join_small", "known", "map_texts", "slabs", "spark_schema", "stage", "text_or_empty", "unused"]

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import join_small, stage, text_or_empty
+from holdfast.llm.common import join_small, stage, text_or_empty, unused
 
 #: Offsets that count, four of five to nine words each. However the words that differ lie, one of these masks fits
 #: wherever an item of nine words or more stands at 70 % of its words on one diagonal: the most words of n that can be
@@ -113,6 +113,7 @@ def repeated_items(
 
 def drop_repeating(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows, with their own columns, whose document repeats no item."""
-    gone = repeated_items(docs, items, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("_gone")).distinct()
+    name = unused(docs, "_gone")
+    gone = repeated_items(docs, items, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias(name)).distinct()
     gone = stage(gone, "repeating")
-    return join_small(docs, gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti", 500_000)
+    return join_small(docs, gone, F.col(f"`{doc_id}`") == F.col(name), "left_anti", 500_000)

@@ -10,10 +10,12 @@ without secrets has an empty list of spans; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import fresh_path, text_or_empty
+from holdfast.llm.common import fresh_path, text_or_empty, unused
 
 
 def _either_case(word: str) -> str:
@@ -78,7 +80,9 @@ def joined(found: Column) -> Column:
 class Ledger:
     """Scanned (blob, rule version) pairs and their findings, as Parquet below ``folder``.
 
-    A run writes to folders of its own (``run=...``), so a repeated run replaces only its own rows.
+    The ledger only grows: every scan writes to folders of its own (``run=...``), whose name no other scan
+    has. A scan notes its blobs as scanned after their findings, so one that stops between is done again by
+    the next; findings that are there twice are read once.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
@@ -99,7 +103,7 @@ class Ledger:
         rows = self._read("findings", f"blob string, found {SPAN}, version string, run string").where(F.col("version") == version)
         return rows.groupBy("blob").agg(F.first("found").alias("found"))
 
-    def scan(self, rows: DataFrame, version: str, run: str) -> None:
+    def scan(self, rows: DataFrame, version: str, label: str = "scan") -> None:
         """Scan the blobs of (path, blob, body) rows that no earlier run has scanned under this version.
 
         One row stands for all copies of a blob; the choice moves only ids and digests, the texts are
@@ -107,14 +111,15 @@ class Ledger:
         """
         firsts = rows.groupBy("blob").agg(F.min("path").alias("path"))
         unseen = firsts.join(self.scanned(version), "blob", "left_anti")
+        run = f"{label}-{uuid.uuid4().hex}"
         at = {t: f"{self.folder}/{t}/version={version}/run={run}" for t in ("todo", "findings", "scanned")}
-        unseen.write.mode("overwrite").parquet(at["todo"])
+        unseen.write.parquet(at["todo"])
         todo = self.spark.read.schema("blob string, path " + dict(rows.dtypes)["path"]).parquet(at["todo"])
         same = (F.col("r.blob") == F.col("t.blob")) & F.col("r.path").eqNullSafe(F.col("t.path"))
         bodies = rows.alias("r").join(todo.alias("t").hint("shuffle_hash"), same, "left_semi")
         found = bodies.select("blob", spans("body").alias("found")).where(F.size("found") > 0)
-        found.write.mode("overwrite").parquet(at["findings"])
-        todo.select("blob").write.mode("overwrite").parquet(at["scanned"])
+        found.write.parquet(at["findings"])
+        todo.select("blob").write.parquet(at["scanned"])
 
 
 def blobs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -123,8 +128,8 @@ def blobs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return body.select("path", F.sha2("body", 256).alias("blob"), "body")
 
 
-def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ledger: Ledger | None = None, run: str = "0") -> DataFrame:
-    """path, blob and found (all spans) of every row, scanning only what the ledger lacks."""
+def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ledger: Ledger | None = None, run: str = "scan") -> DataFrame:
+    """path, blob and found (all spans) of every row, scanning only what the ledger lacks; ``run`` labels the scan."""
     ledger = ledger or Ledger(docs.sparkSession)
     version = rule_version()
     rows = blobs(docs, doc_id, text)
@@ -134,15 +139,16 @@ def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.select("path", "blob").join(ledger.findings(version), "blob", "left").withColumn("found", F.coalesce("found", F.expr(f"CAST(array() AS {SPAN})")))
 
 
-def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ledger: Ledger | None = None, run: str = "0", mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ledger: Ledger | None = None, run: str = "scan", mask: str = "[SECRET]") -> DataFrame:
     """The same rows and columns, with each (merged) secret in the text replaced by ``mask``; null texts stay null."""
     ledger = ledger or Ledger(docs.sparkSession)
     version = rule_version()
     ledger.scan(blobs(docs, doc_id, text), version, run)
-    findings = ledger.findings(version).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
-    marked = docs.withColumn("_key", F.sha2(text_or_empty(text), 256)).join(findings, F.col("_key") == F.col("_blob"), "left")
+    key, blob, found = (unused(docs, n) for n in ("_key", "_blob", "_found"))
+    findings = ledger.findings(version).select(F.col("blob").alias(blob), F.col("found").alias(found))
+    marked = docs.withColumn(key, F.sha2(text_or_empty(text), 256)).join(findings, F.col(key) == F.col(blob), "left")
     t = f"`{text}`"
     step = f"struct(greatest(a.at, x.end) AS at, IF(x.end <= a.at OR x.start < a.at, a.out, concat(a.out, substring({t}, a.at + 1, x.start - a.at), '{mask}')) AS out)"
-    clean = f"aggregate(_found, struct(0 AS at, '' AS out), (a, x) -> {step}, a -> concat(a.out, substring({t}, a.at + 1)))"
-    out = F.expr(f"CASE WHEN _found IS NULL OR {t} IS NULL THEN {t} ELSE {clean} END")
+    clean = f"aggregate({found}, struct(0 AS at, '' AS out), (a, x) -> {step}, a -> concat(a.out, substring({t}, a.at + 1)))"
+    out = F.expr(f"CASE WHEN {found} IS NULL OR {t} IS NULL THEN {t} ELSE {clean} END")
     return marked.withColumn(text, out).select(*[F.col(f"`{c}`") for c in docs.columns])

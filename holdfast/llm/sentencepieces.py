@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm import pieces
-from holdfast.llm.common import map_texts, text_or_empty
+from holdfast.llm.common import SLAB, map_texts, text_or_empty
 
 #: Words that a worker remembers, and words that advance together.
 MAX_WORDS, BATCH = 500_000, 20_000
@@ -202,9 +202,8 @@ def encode_documents(docs: DataFrame, model: str, text: str = "text", ids: str =
     def work(texts: list[str]) -> dict:
         return {ids: _lists(lattice(model).encode(texts))}
 
-    columns = [c for c in docs.columns if c != ids]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], text_or_empty(text).alias("_body"))
-    return map_texts(rows, work, f"`{ids}` array<int>", text="_body")
+    rows = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != ids])
+    return map_texts(rows, work, f"`{ids}` array<int>", text=text, keep=True, limit=SLAB // 4)
 
 
 def decode_documents(encoded: DataFrame, model: str, ids: str = "piece_ids", text: str = "text") -> DataFrame:

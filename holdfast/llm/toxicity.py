@@ -24,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_texts, text_or_empty
+from holdfast.llm.common import map_texts, text_or_empty, unused
 
 CHAIN = 64
 STRIPPED = ".,;:!?\"'()[]{}<>*#-_"
 MAX_WORDS = 600_000
 THRESHOLD = 0.3
+#: Characters tagged at once.
+SCORED = 1_000_000
 
 
 def forms(word: str) -> list[str]:
@@ -301,7 +303,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     if not chosen:
         return [], [], None
     ids = docs.sparkSession.createDataFrame(chosen, f"_id {dict(body.dtypes)['_id']}, _label int")
-    found = body.join(F.broadcast(ids), "_id").dropDuplicates(["_id"]).orderBy("_id").collect()
+    # of rows with equal ids, the least text
+    found = body.join(F.broadcast(ids), "_id").groupBy("_id", "_label").agg(F.min("_body").alias("_body")).orderBy("_id").collect()
     odds = counts[1] / counts[0] if len(counts) == 2 else None
     return [r["_body"] for r in found], [r["_label"] for r in found], odds
 
@@ -324,12 +327,13 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", score: st
         scores, found = tagger(sent.value).tag(texts)
         return {score: pa.array(scores, pa.float64())} | ({spans: pa.array(found, span_type)} if spans else {})
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made], text_or_empty(text).alias("_body"))
+    rows = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in made])
     schema = f"`{score}` double" + (f", `{spans}` array<struct<start:int,end:int>>" if spans else "")
-    return map_texts(rows, work, schema, text="_body")
+    return map_texts(rows, work, schema, text=text, keep=True, limit=SCORED)
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose text scores below the threshold, with their own columns."""
-    scored = score_documents(docs, model, text, score="_toxic_score", spans=None)
-    return scored.where(F.col("_toxic_score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    score = unused(docs, "_toxic_score")
+    scored = score_documents(docs, model, text, score=score, spans=None)
+    return scored.where(F.col(score) < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

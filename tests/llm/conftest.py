@@ -2,7 +2,7 @@ import public_tokenizers
 import pytest
 
 #: Names that operators use inside; extra columns of these names must not disturb them.
-CLASHES = "body blob path found content bands bucket component score spans row part at seed start words ids size key member"
+CLASHES = "body blob path found content bands bucket component score spans row part at seed start words ids size key member marks _body _found _gone _key _blob _toxic_score _id _label _place"
 EXTRA = CLASHES.split()
 
 

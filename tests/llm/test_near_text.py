@@ -143,3 +143,27 @@ def test_bands_of_texts_with_and_without_repeats():
     owner, run, count = near_text.runs(*near_text.word_hashes([twice]))
     plain = near_text.bands(near_text.signatures(owner, run, np.ones(len(run)), 1))[0].tolist()
     assert set(plain) <= set(made[2])
+
+
+def test_one_short_text_a_partition(spark):
+    rows = [(1, "hello there"), (2, "one"), (3, "one two three"), (4, "Hello, there!"), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    for n in range(1, 5):
+        near_text.sketch(["word " * n])
+    got = {r["doc_id"]: r["class_id"] for r in near_text.near_copies(df).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 1, 5: 5}
+
+
+def test_a_bucket_of_unlike_texts_takes_few_rounds(spark, documents, monkeypatch):
+    # texts that share a passage meet in many buckets, but are linked only where they are alike
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    passage = [rnd.choice(vocabulary) for _ in range(100)]
+    rows = [(n, " ".join(passage + [rnd.choice(vocabulary) for _ in range(rnd.choice([12, 15, 30, 45]))])) for n in range(150)]
+    rounds = []
+    components_of = near_text.stage
+    monkeypatch.setattr(near_text, "PAIRS", 0)
+    monkeypatch.setattr(near_text, "stage", lambda df, label: rounds.append(label) or components_of(df, label))
+    got = {r["doc_id"]: r["class_id"] for r in near_text.near_copies(documents(rows)).collect()}
+    assert got == classes(rows)
+    assert rounds.count("pairs") <= 5
