@@ -12,10 +12,21 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame, left: str, right: str, kind: str = "bigint", rounds: int | None = None) -> DataFrame:
-    """node and component (its least node) of every node that has a link to another one.
+def components(links: DataFrame, left: str, right: str, kind: str = "bigint") -> DataFrame:
+    """node and component (its least node) of every node that has a link to another one."""
+    return labels(stars(links, left, right, kind))
 
-    With ``rounds`` it stops early: nodes of one label then hang together, but not all that do share one.
+
+def labels(edges: DataFrame) -> DataFrame:
+    """node and component: the least node among the neighbours in (u, v) of each node, or itself."""
+    known = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), "v"))).alias("e"))
+    return known.groupBy(F.col("e.u").alias("node")).agg(F.min("e.v").alias("component"))
+
+
+def stars(links: DataFrame, left: str, right: str, kind: str = "bigint", rounds: int | None = None) -> DataFrame:
+    """Edges (u, v) that connect the same nodes: each node with the least one of its component.
+
+    With ``rounds`` it stops early: the edges connect the same nodes still, but not all with the least one.
 
     Large-star and small-star steps alternate until nothing changes: each node's links move to the
     least node it knows. Per node only a minimum is kept, the links join it as narrow rows, and each
@@ -38,5 +49,4 @@ def components(links: DataFrame, left: str, right: str, kind: str = "bigint", ro
         if after == before:
             break
         before = after
-    known = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), "v"))).alias("e"))
-    return known.groupBy(F.col("e.u").alias("node")).agg(F.min("e.v").alias("component"))
+    return edges

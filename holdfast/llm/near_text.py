@@ -9,11 +9,13 @@ of their sets of five-word runs is 0.8 or more.
 
 Copies (the same words in the same order, whatever the case, spaces and marks around words) are one text from the
 start. Within a bucket only the least text is compared with the others at first; texts that already hang
-together are not compared again; the texts that all others were compared with leave their bucket. Each round takes
-``GROWTH`` times as many of the least texts of a bucket as the last one, so a bucket of unlike texts
-takes few rounds; once the pairs left between classes, over all buckets, are no more than ``PAIRS`` a text, all
-of them are compared. So a group of copies is not expanded into its pairs, and no link that would join two
-classes is lost. Pairs are first compared by a few bits of each register of their plain sets, which rules
+together are not compared again; the texts that all others were compared with leave their bucket. If many pairs
+between classes are left then, as where many texts share a passage and little else, the texts of those buckets
+get new ones: a bucket for each of their rarest runs, as many as a text of similarity 0.8 to another one
+cannot lack all of. This loses no link, and a common passage makes no bucket. Each further round takes
+``GROWTH`` times as many of the least texts of a bucket as the last one; once the pairs left between classes, over all
+buckets, are no more than ``PAIRS`` a text, all of them are compared. So a group of copies is not expanded
+into its pairs, and no link that would join two classes is lost. Pairs are first compared by a few bits of each register of their plain sets, which rules
 out those that agree in far fewer than similar texts do (six standard deviations); the texts of the others are compared.
 
 Defined results: rows without an id get no class; texts without words are copies of nothing; texts with
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import join_small, map_texts, slabs, stage, text_or_empty, unused
-from holdfast.llm.graph import components
+from holdfast.llm.graph import labels, stars
 
 RUN = 5
 #: Bands and registers a band: two texts of similarity 0.8 share a band of their plain sets with probability 0.9994.
@@ -216,6 +218,34 @@ def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(work, "a bigint, b bigint")
 
 
+def _by_rare_runs(open_texts: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """bucket, id, size, component and place: a bucket for each run of a text that may be the rarest it shares with a similar one.
+
+    Of a text's n runs a similar text has at least threshold * n, so at least one of any n - threshold * n + 1 of them.
+    Taken from the rarest on, in one order for all texts, the first run that two texts share is among
+    these in both. Runs of a single text take places but make no bucket. Where the first shared run has place i
+    of n, at most n - i + 1 runs are shared.
+    """
+    schema = "id bigint, bucket bigint"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for a, b in slabs(texts):
+                owner, run, _ = runs(*word_hashes(texts[a:b]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array(run.view(np.int64))], names=["id", "bucket"])
+
+    of = bodies.join(open_texts.select("id"), "id", "left_semi").select("id", "body")
+    every = stage(of.mapInArrow(work, schema), "runs")
+    common = stage(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "common-runs")
+    held = every.join(common, "bucket").join(open_texts, "id")
+    here = Window.partitionBy("id")
+    alone = F.col("size") - F.count(F.lit(1)).over(here)
+    place = F.row_number().over(here.orderBy("_n", "bucket")) + alone
+    first = held.withColumn("_place", place).where(F.col("_place") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1)
+    return first.select("bucket", "id", "size", "component", F.col("_place").cast("int").alias("place"))
+
+
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the least id of its class) and kept (it is that one), a row per document."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_or_empty(text).alias("body"))
@@ -232,14 +262,18 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     bodies = join_small(rows, wanted, "doc_id", "left_semi", 500_000).groupBy(F.col("doc_id").alias("id")).agg(F.min("body").alias("body"))
     bodies = stage(bodies, "candidate-texts")
 
-    members = members.withColumn("component", F.col("id"))
+    # a band says nothing of the place of what two texts share
+    members = members.withColumn("component", F.col("id")).withColumn("place", F.lit(1))
     few = texts.count()
 
-    def alike(one: str, other: str):
-        # sets of such similarity cannot differ more in size
-        return F.least(one, other) >= threshold * F.greatest(one, other) - 1e-9
+    def alike(one: str, other: str, place: str, other_place: str):
+        # sets of such similarity cannot differ more in size, and share at least so many runs
+        shared = F.least(F.col(one) - F.col(place), F.col(other) - F.col(other_place)) + 1
+        enough = shared >= threshold / (1 + threshold) * (F.col(one) + F.col(other)) - 1e-9
+        return (F.least(one, other) >= threshold * F.greatest(one, other) - 1e-9) & enough
 
     links, found, whole, last, width = None, None, True, False, 1
+    first, crowded = True, False
     while not last:
         by_class = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
         pairs_left = (F.pow(F.sum("n"), F.lit(2)) - F.sum(F.pow("n", F.lit(2)))) / 2
@@ -250,30 +284,36 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
             break
         members = stage(members.join(buckets.select("bucket"), "bucket", "left_semi"), "members")
         last = total <= PAIRS * few
+        if crowded and not last:
+            members, crowded = stage(_by_rare_runs(members.select("id", "size", "component").distinct(), bodies, threshold), "members"), False
+            width = GROWTH**2
+            continue
         pivots = members
         if not last:
             # only the least few of a bucket leave their tasks
             place = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
             pivots = stage(members.withColumn("_place", place).where(F.col("_place") <= width), "pivots")
-        chosen = pivots.select("bucket", F.col("id").alias("_id"), F.col("component").alias("_of"), F.col("size").alias("_n"))
-        pairs = members.join(chosen, "bucket").where((F.col("id") > F.col("_id")) & (F.col("component") != F.col("_of")) & alike("size", "_n"))
+        chosen = pivots.select("bucket", F.col("id").alias("_id"), F.col("component").alias("_of"), F.col("size").alias("_n"), F.col("place").alias("_at"))
+        pairs = members.join(chosen, "bucket").where((F.col("id") > F.col("_id")) & (F.col("component") != F.col("_of")) & alike("size", "_n", "place", "_at"))
         pairs = stage(pairs.select(F.col("_id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        new = stage(_linked(_likely(pairs, texts.select("id", "marks")), bodies, threshold), "new-links")
+        likely = _likely(pairs, texts.select("id", "marks")) if 2 * pairs.count() > few else pairs
+        new = stage(_linked(likely, bodies, threshold), "new-links")
         if new.limit(1).count():
-            links = new if links is None else links.unionByName(new)
-            # between rounds a few steps do: what they leave apart is only compared once more
-            found, whole = stage(components(links, "a", "b", rounds=None if last else 2), "components"), last
+            # between rounds one step does: what it leaves apart is only compared once more
+            edges = stars(new if links is None else links.unionByName(new), "a", "b", rounds=None if last else 1)
+            links, found, whole = edges.select(F.col("u").alias("a"), F.col("v").alias("b")), stage(labels(edges), "components"), last
         if not last:
             edges = pivots.groupBy("bucket").agg(F.max("id").alias("_edge"))
-            members = members.join(edges, "bucket").where("id > _edge").select("bucket", "id", "size")
+            members = members.join(edges, "bucket").where("id > _edge").select("bucket", "id", "size", "place")
             if found is not None:
                 members = members.join(found.withColumnRenamed("node", "id"), "id", "left")
             else:
                 members = members.withColumn("component", F.lit(None).cast("bigint"))
             members = stage(members.withColumn("component", F.coalesce("component", "id")), "members")
             width *= GROWTH
+            crowded, first = first, False
     if not whole:
-        found = stage(components(links, "a", "b"), "components")
+        found = stage(labels(stars(links, "a", "b")), "components")
     own = texts.select("content", "id")
     if found is not None:
         own = own.join(found.withColumnRenamed("node", "id"), "id", "left").select("content", F.coalesce("component", "id").alias("class_id"))
