@@ -5,13 +5,14 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
-    RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -24,6 +25,7 @@ from holdfast.functions.ordered import dense_index
 from holdfast.functions.scalars import hash_number
 from holdfast.operators import metrics, resample
 from holdfast.operators.boosting import StumpBoosting
+from holdfast.operators.forest import DeepForest
 from holdfast.operators.quality import col, numeric_columns
 from holdfast.session import materialise
 
@@ -114,7 +116,7 @@ def _logistic(rows: int, **p) -> Estimator:
 
 ALGORITHMS = {
     "xgboost": lambda rows, **p: GBTClassifier(**({"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "seed": SEED} | p)),
-    "random_forest": lambda rows, **p: RandomForestClassifier(**({"numTrees": 100, "maxDepth": 30, "maxMemoryInMB": 1024, "seed": SEED} | p)),
+    "random_forest": lambda rows, **p: DeepForest(**({"numTrees": 100, "seed": SEED} | p)),
     "logistic_regression": _logistic,
     "adaboost": lambda rows, **p: StumpBoosting(**({"maxIter": 50, "seed": SEED} | p)),
     "decision_tree": lambda rows, **p: DecisionTreeClassifier(**({"maxDepth": 10, "seed": SEED} | p)),
@@ -134,7 +136,7 @@ SEARCH_SPACES = {
     },
     "random_forest": {
         "numTrees": [50, 100, 200, 300],
-        "maxDepth": [5, 10, 15, 20, 30],
+        "maxDepth": [5, 10, 15, 20, 0],
         "minInstancesPerNode": [1, 2, 4],
         "featureSubsetStrategy": ["sqrt", "log2", "all"],
     },
@@ -205,9 +207,11 @@ def train(
     test_size: float = 0.2,
     metric: str = "tn_rate",
     params: dict[str, dict] | None = None,
+    parallelism: int = 3,
 ) -> tuple[DataFrame, dict[str, Model], DataFrame]:
     """Fit every algorithm on every resampled training split and rank them on the test split.
 
+    ``parallelism`` fits run at once on one training split: the many short passes of one leave cores idle.
     Returns the ranked results, the models by ``<algorithm>_<strategy>`` and the split frame.
     """
     metrics.check_metric(metric)
@@ -232,9 +236,15 @@ def train(
         ready = spread(with_vectors(rows).select("features", "label")).persist()
         try:
             n = ready.count()
-            for algorithm in algorithms:
+
+            def fit(algorithm: str) -> Model:
+                return estimator(algorithm, n, **(params or {}).get(algorithm, {})).fit(ready)
+
+            with ThreadPoolExecutor(max(1, parallelism)) as pool:
+                fitted = list(pool.map(inheritable_thread_target(frame.sparkSession)(fit), algorithms))
+            for algorithm, model in zip(algorithms, fitted):
                 name = f"{algorithm}_{strategy}"
-                models[name] = estimator(algorithm, n, **(params or {}).get(algorithm, {})).fit(ready)
+                models[name] = model
                 runs.append((name, algorithm, strategy, status, n, len(runs)))
         finally:
             ready.unpersist()

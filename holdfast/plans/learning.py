@@ -143,9 +143,8 @@ _COMPARED = ["model", "rank", "train_rows", "resample_status", "accuracy", "auc"
 
 @query("train_compete")
 def train_compete(spark, sf):
-    results, _, _ = learn.train(
-        order_examples(spark, sf), ["random_forest", "logistic_regression", "decision_tree"], ["none", "smote"]
-    )
+    """All algorithms on the plain and on the balanced training split."""
+    results, _, _ = learn.train(order_examples(spark, sf), list(learn.ALGORITHMS), ["none", "smote"])
     return results.select(*_COMPARED)
 
 
