@@ -8,7 +8,7 @@ from holdfast.plans import distributions
 from holdfast.plans.registry import query, table
 from holdfast.session import fresh_path
 from holdfast.sources.messages import encode
-from holdfast.streaming import alerts, jobs, windows
+from holdfast.streaming import alerts, breaches, jobs, windows
 
 
 def _sent(events):
@@ -204,6 +204,31 @@ def stream_window_mean(spark, sf):
     return _shown(jobs.drain_updates(means, ["window_start", "window_end", "series"], "window-mean"))
 
 
+@query(
+    "stream_sustained_alert",
+    """
+    with m as (
+        select time_bucket(interval '3600 seconds', ts) as w, event_type as series, avg(value) as mean
+        from events group by all
+    ),
+    r as (
+        select *, sum((mean > 45)::int) over (partition by series order by w
+            range between interval 2 hours preceding and current row) as k
+        from m
+    )
+    select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, series, round(mean, 6) as mean,
+           k::bigint as breaching_windows
+    from r where k >= 3 and w + interval 2 hours <= (select max(ts) from events)
+    """,
+)
+def stream_sustained_alert(spark, sf):
+    """Hourly means above 45 for three hours on end, told as windows close an hour behind the newest event."""
+    stream = _event_stream(spark, sf).select("ts", F.col("event_type").alias("series"), "value")
+    means = windows.window_mean(stream, "ts", ["series"], "value", 3600, delay="1 hour")
+    told = breaches.sustained_alert_stream(means, ["series"], "mean", 45, 3600, 3 * 3600)
+    return _shown(jobs.with_state_store(spark, lambda: jobs.drain_rows(told, "sustained-alerts")))
+
+
 @query(
     "stream_retrain_decision",
     f"""

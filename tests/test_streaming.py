@@ -1,11 +1,13 @@
 """Streaming forms give what the batch forms give."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from holdfast.session import fresh_path
 from holdfast.sources import messages, schemas
-from holdfast.streaming import alerts, jobs, windows
+from holdfast.streaming import alerts, breaches, jobs, windows
 
 
 @pytest.fixture(scope="module")
@@ -64,6 +66,31 @@ def test_alert_messages(spark):
     assert asked["5"] == ("manual", "retention-pipeline") and len(asked) == 5
 
 
+def test_sustained_alerts_of_a_stream_equal_those_of_a_batch(spark):
+    # minutes of two series in files out of order by less than the delay, with a gap and a silent end
+    def minute(series, m, value):
+        return (series, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m, seconds=7), float(value))
+
+    values = {m: 9 if 3 <= m <= 8 or 12 <= m <= 13 or 20 <= m <= 26 else 1 for m in range(40) if m not in (23, 14, 15)}
+    rows = [minute("a", m, v) for m, v in values.items()] + [minute("b", m, 9) for m in range(0, 6)] + [minute("a", 59, 1)]
+    rows.sort(key=lambda r: r[1])
+    parts = [[r for i, r in enumerate(rows) if (i // 4 + (i % 3 == 0)) == n] for n in range(13)]
+    path = fresh_path(spark, "points")
+    schema = "series string, ts timestamp, value double"
+    for part in parts:
+        if part:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    points = spark.read.schema(schema).parquet(path)
+    want = windows.sustained_alerts(windows.window_mean(points, "ts", ["series"], "value", 60), ["series"], "mean", 5, 60, 180)
+    last = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=29)
+    want = sorted((r["series"], r["window_start"], r["breaching_windows"]) for r in want.where(F.col("window_end") <= F.lit(last)).collect())
+    stream = jobs.file_stream(spark, path, points.schema, 2)
+    told = breaches.sustained_alert_stream(windows.window_mean(stream, "ts", ["series"], "value", 60, delay="30 minutes"), ["series"], "mean", 5, 60, 180)
+    got = jobs.with_state_store(spark, lambda: jobs.drain_rows(told, "alerts"))
+    assert sorted((r["series"], r["window_start"], r["breaching_windows"]) for r in got.collect()) == want
+    assert len(want) >= 8
+
+
 def test_redelivered_messages(spark):
     path = fresh_path(spark, "messages")
     rows = [("m1", "e30="), ("m2", "e30="), ("m1", "e30=")]
