@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from holdfast.functions.ordered import running_last
 from holdfast.operators import drift
+from holdfast.operators.serve import validate_requests
 from holdfast.session import fresh_path
 from holdfast.sources.messages import encode
 
@@ -260,3 +261,32 @@ def looked_up(rows: DataFrame, ttl_seconds: int, label: str = "lookups") -> Data
     cache_lookups(rows, out, held, checkpoint, ttl_seconds)
     entity = rows.schema["entity"].dataType.simpleString()
     return spark.read.schema(LOOKUPS.replace("entity bigint", f"entity {entity}")).parquet(out)
+
+
+def score_requests(
+    requests: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    log_path: str,
+    quarantine_path: str,
+    checkpoint: str,
+    validate: Callable[[DataFrame], DataFrame] = validate_requests,
+) -> None:
+    """Score a stream of raw requests: valid ones into the log, the others with the rules they break into a
+    quarantine.
+
+    ``score`` takes valid requests to rows of the prediction log. Both sinks have a folder per batch, written
+    whole: a batch that is repeated after a failure, whichever of the two writes it had done, leaves both
+    as one run would.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = validate(batch).persist()
+        try:
+            wrong = checked.where(~F.col("valid")).drop("valid")
+            wrong.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            right = score(checked.where("valid").drop("valid", "violations"))
+            right.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        finally:
+            checked.unpersist()
+
+    drain(requests, log_path, checkpoint, "append", write)
