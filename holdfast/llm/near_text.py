@@ -46,7 +46,9 @@ PAIRS = 8
 GROWTH = 8
 #: Registers in which texts of similarity 0.8 agree in four bits: 0.8125 of 320, with a deviation of 0.0218.
 AGREEING = 0.68
-MAX_WORDS = 500_000
+MAX_WORDS = 200_000
+#: Characters sketched at once.
+SKETCHED = 1_000_000
 MARKS = ".,;:!?\"'()[]{}<>*#-_"
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -250,7 +252,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
     """doc_id, class_id (the least id of its class) and kept (it is that one), a row per document."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_or_empty(text).alias("body"))
     rows = rows.where(F.col("doc_id").isNotNull())
-    sketched = stage(map_texts(rows, sketch, "content binary, size int, bands array<bigint>, marks binary", text="body"), "sketches")
+    sketched = stage(map_texts(rows, sketch, "content binary, size int, bands array<bigint>, marks binary", text="body", limit=SKETCHED), "sketches")
     worded = sketched.where(F.col("content").isNotNull())
     # one text per content; copies only count through the least id
     texts = worded.groupBy("content").agg(F.min("doc_id").alias("id"), F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("marks").alias("marks"))

@@ -21,7 +21,7 @@ from holdfast.llm import pieces
 from holdfast.llm.common import SLAB, map_texts, text_or_empty
 
 #: Words that a worker remembers, and words that advance together.
-MAX_WORDS, BATCH = 500_000, 20_000
+MAX_WORDS, BATCH = 250_000, 20_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MARKS = frozenset(",.!?;:")
 #: Bits of the table of decided neighbours and of the table of piece hashes.

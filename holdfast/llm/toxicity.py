@@ -28,7 +28,7 @@ from holdfast.llm.common import map_texts, text_or_empty, unused
 
 CHAIN = 64
 STRIPPED = ".,;:!?\"'()[]{}<>*#-_"
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 THRESHOLD = 0.3
 #: Characters tagged at once.
 SCORED = 1_000_000
