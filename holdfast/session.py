@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that ``stage`` writes to names of its own inside, once their results are written
+    elsewhere; the list holds their paths, and what is taken from it stays."""
+    _SCRATCH.append([])
+    try:
+        yield _SCRATCH[-1]
+    finally:
+        for path in _SCRATCH.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stage(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write a frame as Parquet and read it back: later jobs scan only the columns they need, and a
     lost executor costs a re-read, not the whole lineage."""
     path = f"{folder.rstrip('/')}/{label}.parquet" if folder else fresh_path(df.sparkSession, label)
+    if _SCRATCH and not folder:
+        _SCRATCH[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
