@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import join_small, map_texts, slabs, stage, text_or_empty, unused
 from holdfast.llm.graph import labels, stars
+from holdfast.session import scratch
 
 RUN = 5
 #: Bands and registers a band: two texts of similarity 0.8 share a band of their plain sets with probability 0.9994.
@@ -298,8 +299,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
         chosen = pivots.select("bucket", F.col("id").alias("_id"), F.col("component").alias("_of"), F.col("size").alias("_n"), F.col("place").alias("_at"))
         pairs = members.join(chosen, "bucket").where((F.col("id") > F.col("_id")) & (F.col("component") != F.col("_of")) & alike("size", "_n", "place", "_at"))
         pairs = stage(pairs.select(F.col("_id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        likely = _likely(pairs, texts.select("id", "marks")) if 2 * pairs.count() > few else pairs
-        new = stage(_linked(likely, bodies, threshold), "new-links")
+        new = stage(_linked(_likely(pairs, texts.select("id", "marks")), bodies, threshold), "new-links")
         if new.limit(1).count():
             # between rounds one step does: what it leaves apart is only compared once more
             edges = stars(new if links is None else links.unionByName(new), "a", "b", rounds=None if last else 1)
@@ -330,6 +330,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thr
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of one document of each class, with their own columns; rows without an id stay."""
     name = unused(docs, "_gone")
-    gone = near_copies(docs, doc_id, text, threshold).where(~F.col("kept")).select(F.col("doc_id").alias(name))
-    gone = stage(gone, "near-copies")
+    with scratch(docs.sparkSession) as made:
+        gone = near_copies(docs, doc_id, text, threshold).where(~F.col("kept")).select(F.col("doc_id").alias(name))
+        gone = stage(gone, "near-copies")
+        made.pop()
     return join_small(docs, gone, F.col(f"`{doc_id}`").cast("bigint") == F.col(name), "left_anti", 500_000)

@@ -146,9 +146,11 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ledger:
     ledger.scan(blobs(docs, doc_id, text), version, run)
     key, blob, found = (unused(docs, n) for n in ("_key", "_blob", "_found"))
     findings = ledger.findings(version).select(F.col("blob").alias(blob), F.col("found").alias(found))
-    marked = docs.withColumn(key, F.sha2(text_or_empty(text), 256)).join(findings, F.col(key) == F.col(blob), "left")
     t = f"`{text}`"
+    # a text that holds no hint has no finding: it stays where it lies
+    hint = F.expr(" OR ".join(f"coalesce({t}, '') RLIKE {_literal(h)}" for h in HINTS.values()))
+    marked = docs.where(hint).withColumn(key, F.sha2(text_or_empty(text), 256)).join(findings, F.col(key) == F.col(blob), "left")
     step = f"struct(greatest(a.at, x.end) AS at, IF(x.end <= a.at OR x.start < a.at, a.out, concat(a.out, substring({t}, a.at + 1, x.start - a.at), '{mask}')) AS out)"
     clean = f"aggregate({found}, struct(0 AS at, '' AS out), (a, x) -> {step}, a -> concat(a.out, substring({t}, a.at + 1)))"
     out = F.expr(f"CASE WHEN {found} IS NULL OR {t} IS NULL THEN {t} ELSE {clean} END")
-    return marked.withColumn(text, out).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.where(~hint).unionAll(marked.withColumn(text, out).select(*[F.col(f"`{c}`") for c in docs.columns]))
