@@ -43,6 +43,8 @@ BANDS, ROWS = 40, 8
 THRESHOLD = 0.8
 #: Pairs a text up to which all that are left between classes are compared at once.
 PAIRS = 8
+#: Frequent runs that are told apart by their counts at most.
+FREQUENT = 200_000
 #: Growth of the texts of a bucket that a round compares with the others.
 GROWTH = 8
 #: Registers in which texts of similarity 0.8 agree in four bits: 0.8125 of 320, with a deviation of 0.0218.
@@ -225,28 +227,46 @@ def _by_rare_runs(open_texts: DataFrame, bodies: DataFrame, threshold: float) ->
     """bucket, id, size, component and place: a bucket for each run of a text that may be the rarest it shares with a similar one.
 
     Of a text's n runs a similar text has at least threshold * n, so at least one of any n - threshold * n + 1 of them.
-    Taken from the rarest on, in one order for all texts, the first run that two texts share is among
-    these in both. Runs of a single text take places but make no bucket. Where the first shared run has place i
-    of n, at most n - i + 1 runs are shared.
+    Taken in one order for all texts, the first run that two texts share is among these in both; where it has
+    place i of n, at most n - i + 1 runs are shared. Any order does. This one puts frequent runs last, the most frequent
+    at the end, so that a passage of many texts makes no bucket; it tells apart at most ``FREQUENT`` runs.
     """
-    schema = "id bigint, bucket bigint"
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for a, b in slabs(texts):
+            for a, b in slabs(texts, SKETCHED):
                 owner, run, _ = runs(*word_hashes(texts[a:b]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array(run.view(np.int64))], names=["id", "bucket"])
+                yield ids[a:b], owner, run.view(np.int64)
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, run in each(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(run)], names=["run"])
 
     of = bodies.join(open_texts.select("id"), "id", "left_semi").select("id", "body")
-    every = stage(of.mapInArrow(work, schema), "runs")
-    common = stage(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "common-runs")
-    held = every.join(common, "bucket").join(open_texts, "id")
-    here = Window.partitionBy("id")
-    alone = F.col("size") - F.count(F.lit(1)).over(here)
-    place = F.row_number().over(here.orderBy("_n", "bucket")) + alone
-    first = held.withColumn("_place", place).where(F.col("_place") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1)
-    return first.select("bucket", "id", "size", "component", F.col("_place").cast("int").alias("place"))
+    counts = of.mapInArrow(every, "run bigint").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    counts, least = stage(counts.where("n >= 4"), "frequent-runs"), 4
+    while counts.where(F.col("n") >= least).limit(FREQUENT + 1).count() > FREQUENT:
+        least *= 4
+    found = sorted(tuple(r) for r in counts.where(F.col("n") >= least).collect())
+    frequent, often = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, owner, run in each(batches):
+            n = np.zeros(len(run), np.int64)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, run), len(frequent) - 1)
+                n = np.where(frequent[at] == run, often[at], 0)
+            order = np.lexsort((run, n, owner))
+            owner, run = owner[order], run[order]
+            size = np.bincount(owner, minlength=len(ids))[owner]
+            place = np.arange(len(run)) - np.searchsorted(owner, owner) + 1
+            of = place <= size - np.ceil(threshold * size - 1e-9) + 1
+            columns = [pa.array(x[of]) for x in (run, ids[owner], size.astype(np.int32), place.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "id", "size", "place"])
+
+    placed = of.mapInArrow(rare, "bucket bigint, id bigint, size int, place int")
+    return placed.join(open_texts.select("id", "component"), "id").select("bucket", "id", "size", "component", "place")
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
