@@ -248,7 +248,7 @@ def spearman_correlation(spark, sf):
 
 def _tau(c):
     return f"""
-        select '{c}' as feature, round((2 * u - p * n) / sqrt((total * (total - 1) / 2 - ties) * p * n), 6) as correlation
+        select '{c}' as feature, round((2 * u - p * n) / nullif(sqrt((total * (total - 1) / 2 - ties) * p * n), 0), 6) as correlation
         from (
             select sum(hi * (below + lo / 2.0)) as u, sum(hi)::double as p, sum(lo)::double as n,
                    sum(hi + lo)::double as total, sum((hi + lo) * (hi + lo - 1) / 2)::double as ties
@@ -262,11 +262,10 @@ def _tau(c):
 
 @query(
     "kendall_correlation",
-    f"with {NUMBERS_SQL} " + " union all ".join(_tau(c) for c in NUMBERS if c != "steady"),
+    f"with {NUMBERS_SQL} " + " union all ".join(_tau(c) for c in NUMBERS),
 )
 def kendall_correlation(spark, sf):
-    wanted = [c for c in NUMBERS if c != "steady"]
-    return _rounded(reduce.target_correlations(numbers(spark, sf), wanted, "target", "kendall"))
+    return _rounded(reduce.target_correlations(numbers(spark, sf), NUMBERS, "target", "kendall"))
 
 
 @query(

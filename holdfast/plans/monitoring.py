@@ -63,7 +63,10 @@ def retrain_decision(spark, sf):
     """
     select event_id as message_id,
            case when event_type = 'error' or event_type = 'view' then 'manual' else event_type end as reason,
-           case when event_type in ('click', 'signup') then 'weekly' else 'retention-pipeline' end as pipeline_name
+           case when event_type in ('click', 'signup') then 'weekly' else 'retention-pipeline' end as pipeline_name,
+           case when event_type in ('error', 'view') then '{}'
+                when event_type in ('click', 'signup') then '{"reason":"' || event_type || '","pipeline_name":"weekly"}'
+                else '{"reason":"' || event_type || '"}' end as config
     from events
     """,
 )
@@ -76,7 +79,7 @@ def retrain_requests(spark, sf):
     sent = table(spark, sf, "events").select(
         F.col("event_id").alias("message_id"), F.when(kind != "error", encode(body)).alias("data")
     )
-    return alerts.decode_retrain_requests(sent).drop("config")
+    return alerts.decode_retrain_requests(sent)
 
 
 def points(spark, sf):

@@ -161,17 +161,18 @@ def pii_drop(spark, sf):
 @query(
     "pii_column_report",
     f"""
-    select count(*) as total_records, count(c_mktsegment) as has_email, count(c_name) as has_first_name,
+    select count(*) + (select count(*) from ({TEXTS_SQL}) where doc_id not in (select c_custkey from customer)) as total_records,
+           count(c_mktsegment) as has_email, count(c_name) as has_first_name,
            count(c_name) as has_last_name, count(c_acctbal) as has_ssn_last4, count(c_custkey) as has_birth_date,
            (select count(*) filter (regexp_matches(notes, '\\d{{3}}-\\d{{2}}-\\d{{4}}')) from ({TEXTS_SQL})
-            where doc_id in (select c_custkey from customer)) as ssn_in_notes,
+            ) as ssn_in_notes,
            (select count(*) filter (regexp_matches(address_line2, '\\(\\d{{3}}\\)')) from ({TEXTS_SQL})
-            where doc_id in (select c_custkey from customer)) as phone_in_address
+            ) as phone_in_address
     from ({PEOPLE_SQL})
     """,
 )
 def pii_column_report(spark, sf):
-    frame = people(spark, sf).join(texts(spark, sf), F.col("c_custkey") == F.col("doc_id"), "left")
+    frame = people(spark, sf).join(texts(spark, sf), F.col("c_custkey") == F.col("doc_id"), "full")
     return privacy.density_report(
         frame.select(
             F.col("c_mktsegment").alias("email"),

@@ -169,7 +169,7 @@ def request_tables(spark, sf):
     requests = events.select(
         F.col("event_id").alias("request_id"),
         (F.col("user_id") * 2).alias("entity"),
-        F.lit(NOW).cast("timestamp").alias("as_of"),
+        F.col("ts").alias("as_of"),
         F.when(F.col("event_type") == "purchase", (F.col("value") > 50).cast("int")).alias("live_class"),
         F.when(F.col("event_type") == "purchase", F.round(F.col("value") / 500, 4)).alias("live_probability"),
         F.when(F.col("event_type") == "purchase", "v1").alias("live_version"),
@@ -185,7 +185,7 @@ def request_tables(spark, sf):
     cache = serve.latest_answers(
         log, "entity", "stored", ["cache_class", "cache_probability", "cache_version"], ["event_id"]
     )
-    batch = table(spark, sf, "customer").where("c_custkey % 5 <> 0").select(
+    batch = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("entity"),
         (F.col("c_acctbal") > 0).cast("int").alias("batch_class"),
         F.round(F.abs(F.col("c_acctbal")) / 20000, 4).alias("batch_probability"),
@@ -196,7 +196,7 @@ def request_tables(spark, sf):
 
 SERVE_SQL = f"""
     requests as (
-        select event_id as request_id, user_id * 2 as entity, timestamp '{NOW}' as as_of,
+        select event_id as request_id, user_id * 2 as entity, ts as as_of,
                case when event_type = 'purchase' then (value > 50)::int end as live_class,
                case when event_type = 'purchase' then round(value / 500, 4) end as live_probability
         from events
@@ -209,7 +209,7 @@ SERVE_SQL = f"""
     ),
     batch as (
         select c_custkey as entity, (c_acctbal > 0)::int as batch_class, round(abs(c_acctbal) / 20000, 4) as batch_probability
-        from customer where c_custkey % 5 <> 0
+        from customer
     ),
     answered as (
         select request_id, r.entity,
@@ -218,7 +218,7 @@ SERVE_SQL = f"""
                coalesce(live_class, cache_class, batch_class, -1) as predicted_class,
                coalesce(live_probability, cache_probability, batch_probability, 0.5) as probability
         from requests r
-        left join cache c on r.entity = c.entity and as_of - stored < interval 6 hours
+        left join cache c on r.entity = c.entity and as_of - stored < interval 6 hours and stored <= as_of
         left join batch b on r.entity = b.entity
     )
 """
@@ -262,7 +262,7 @@ def tier_stats(spark, sf):
     with {SERVE_SQL}
     select request_id, 'pred:' || r.entity as cache_key, cache_class, cache_probability
     from requests r left join cache c
-      on r.entity = c.entity and as_of - stored < interval 6 hours
+      on r.entity = c.entity and as_of - stored < interval 6 hours and stored <= as_of
     """,
 )
 def ttl_lookup(spark, sf):
@@ -280,7 +280,7 @@ def ttl_lookup(spark, sf):
     with {SERVE_SQL},
     looked as (
         select cache_class from requests r left join cache c
-          on r.entity = c.entity and as_of - stored < interval 6 hours
+          on r.entity = c.entity and as_of - stored < interval 6 hours and stored <= as_of
     )
     select count(cache_class) as hits, count(*) - count(cache_class) as misses,
            round(count(cache_class) / count(*), 4) as hit_rate

@@ -177,14 +177,14 @@ def stream_prediction_log(spark, sf):
 @query(
     "stream_cache_hit_mean",
     """
-    select strftime(time_bucket(interval '300 seconds', ts), '%Y-%m-%d %H:%M:%S') as window_start,
+    select strftime(time_bucket(interval '60 seconds', ts), '%Y-%m-%d %H:%M:%S') as window_start,
            round(avg((event_type = 'purchase')::int), 6) as mean
     from events group by 1
     """,
 )
 def stream_cache_hit_mean(spark, sf):
-    """Share of cache hits per five minutes, as a stream."""
+    """Share of cache hits per minute, as a stream."""
     hits = _event_stream(spark, sf).withColumn("hit", (F.col("event_type") == "purchase").cast("double"))
-    found = jobs.drain_updates(windows.window_mean(hits, "ts", [], "hit", delay="1 hour"), ["window_start", "window_end"], "hit-mean")
+    found = jobs.drain_updates(windows.window_mean(hits, "ts", [], "hit", windows.ONE_MINUTE, delay="1 hour"), ["window_start", "window_end"], "hit-mean")
     return found.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), F.round("mean", 6).alias("mean"))
 
