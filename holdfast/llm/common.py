@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +30,20 @@ def unused(df: DataFrame, name: str) -> str:
 
 def slabs(texts: list[str], limit: int = SLAB) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows with about ``limit`` characters, one row at least."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
+    return ranges(map(len, texts), limit)
+
+
+def ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of rows whose sizes come to about ``limit``, one row at least."""
+    start = total = end = 0
+    for i, size in enumerate(sizes):
+        if total and total + size > limit:
             yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += size
+        end = i + 1
+    if start < end:
+        yield start, end
 
 
 def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], schema: str, text: str = "text", keep: bool = False, limit: int = SLAB) -> DataFrame:
@@ -49,13 +56,17 @@ def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, object]], sch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if t is not None else "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            for a, b in slabs(texts, limit):
-                made = work(texts[a:b])
+            column = batch.column(batch.schema.get_field_index(text))
+            lengths = pc.utf8_length if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else pc.list_value_length
+            # only the rows of a slab become Python objects at a time
+            for a, b in ranges(lengths(column).fill_null(0).to_pylist(), limit):
                 part = batch.slice(a, b - a)
+                made = work([t if t is not None else "" for t in column.slice(a, b - a).to_pylist()])
                 arrays = [part.column(part.schema.get_field_index(n)) for n in names]
                 arrays += [x if isinstance(x, pa.Array) else pa.array(x) for x in (made[f.name] for f in added.fields)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names + [f.name for f in added.fields])
+        # the worker goes on to other tasks; what this one took goes back
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, out)
 
