@@ -98,7 +98,7 @@ def _descend(frame: DataFrame, level: dict) -> DataFrame:
     return moved.withColumn("box", F.coalesce(piece, F.col("box"))).drop("_axis", "_cuts", "_first")
 
 
-def _search(k: int, within: bool, keep_self: bool):
+def nearest_in_box(k: int, within: bool, keep_self: bool):
     """Nearest candidates of a box for its queries, block by block."""
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
@@ -145,13 +145,15 @@ def _search(k: int, within: bool, keep_self: bool):
     return search
 
 
-_FOUND = "id bigint, neighbour bigint, distance double, nvec array<double>, nlabel int"
+FOUND = "id bigint, neighbour bigint, distance double, nvec array<double>, nlabel int"
 
 
-def _by_box(queries: DataFrame, points: DataFrame, query_rows: int, search) -> DataFrame:
-    """Run the search per (box, salt); a box with many queries gets several salts."""
+def candidates_by_box(queries: DataFrame, points: DataFrame, query_rows: int, search, broadcast_boxes: bool = True) -> DataFrame:
+    """Run the search per (box, salt); a box with many queries gets several salts. Without
+    ``broadcast_boxes`` the number of boxes has no bound, and the size of their table decides."""
     load = queries.groupBy("box").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("salts"))
-    load = F.broadcast(load)  # one row per box, MAX_BOXES or so of them
+    if broadcast_boxes:
+        load = F.broadcast(load)  # one row per box, MAX_BOXES or so of them
     reach = "reach" if "reach" in queries.columns else F.lit(None).cast("double").alias("reach")
     dealt = queries.join(load, "box").select(
         F.lit(True).alias("asking"), "box", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"),
@@ -165,7 +167,7 @@ def _by_box(queries: DataFrame, points: DataFrame, query_rows: int, search) -> D
     # light in bytes but heavy to compute: keep the partitions that size-based coalescing would merge
     context = rows.sparkSession
     tasks = max(int(context.conf.get("spark.sql.shuffle.partitions")), 4 * context.sparkContext.defaultParallelism)
-    return rows.repartition(tasks, "box", "salt").groupBy("box", "salt").applyInPandas(search, _FOUND)
+    return rows.repartition(tasks, "box", "salt").groupBy("box", "salt").applyInPandas(search, FOUND)
 
 
 def _other_boxes(boxes: list, schema: T.StructType):
@@ -192,6 +194,12 @@ def _other_boxes(boxes: list, schema: T.StructType):
     return reach
 
 
+def distinct_points(points: DataFrame, k: int) -> DataFrame:
+    """Points without the copies that can be among nobody's k nearest."""
+    copies = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+    return points.withColumn("_copy", copies).where(F.col("_copy") <= k + 1).select("id", "vec", "label")
+
+
 def nearest_neighbours(
     queries: DataFrame,
     points: DataFrame,
@@ -205,18 +213,16 @@ def nearest_neighbours(
     Both frames have ``id bigint, vec array<double>, label int``.  Ties go to the smaller id; a point
     with the query's own id is skipped unless ``keep_self``.
     """
-    copies = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
-    distinct = points.withColumn("_copy", copies).where(F.col("_copy") <= k + 1).drop("_copy")
-    distinct = materialise(distinct.select("id", "vec", "label"))
+    distinct = materialise(distinct_points(points, k))
     first = distinct.first()
     if first is None:
-        return queries.sparkSession.createDataFrame([], f"{_FOUND}, rank int")
+        return queries.sparkSession.createDataFrame([], f"{FOUND}, rank int")
     boxed, levels = _cut(distinct, len(first["vec"]), max(box_rows, -(-distinct.count() // MAX_BOXES)))
     asking = queries.select("id", "vec").withColumn("box", F.lit(0).cast("bigint"))
     for level in levels:
         asking = _descend(asking, level)
     boxes = _bounds(boxed, len(first["vec"]))
-    own = _by_box(asking, boxed, query_rows, _search(k, False, keep_self))
+    own = candidates_by_box(asking, boxed, query_rows, nearest_in_box(k, False, keep_self))
     if len(boxes) == 1:
         candidates = own
     else:
@@ -226,7 +232,7 @@ def nearest_neighbours(
         )
         asked = asking.join(kth, "id", "left").fillna(float("inf"), ["reach"])
         further = asked.mapInPandas(_other_boxes(boxes, asked.schema), asked.schema)
-        candidates = own.unionByName(_by_box(further, boxed, query_rows, _search(k, True, keep_self)))
+        candidates = own.unionByName(candidates_by_box(further, boxed, query_rows, nearest_in_box(k, True, keep_self)))
     # a query's candidates: k per box it reached
     place = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
     return candidates.withColumn("rank", place).where(F.col("rank") <= k)

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from holdfast.functions.ordered import dense_index
 from holdfast.functions.scalars import hash_number, hash_unit
 from holdfast.operators.neighbours import nearest_neighbours
+from holdfast.operators.projections import projected_neighbours
 from holdfast.session import materialise
 
 NEIGHBOURS = 5
 CLEANING_NEIGHBOURS = 3
+#: Vectors up to this length are searched by boxes and exactly; longer ones by projections, whose recall is measured.
+EXACT_DIMENSIONS = 12
 #: Draws of a base row that one task makes at most, and base rows in a block of running sums.
 PIECE, BLOCK = 10_000, 100_000
 
@@ -83,6 +86,13 @@ def _fixed(frame: DataFrame) -> DataFrame:
     return materialise(frame.select(F.col("id").cast("bigint").alias("id"), "vec", F.col("label").cast("int").alias("label")))
 
 
+def _neighbours(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    first = points.select("vec").first()
+    if first is None or len(first["vec"]) <= EXACT_DIMENSIONS:
+        return nearest_neighbours(queries, points, k)
+    return projected_neighbours(queries, points, k)[0]
+
+
 def smote(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     """Add synthetic minority rows until the classes are equal."""
     frame = _fixed(frame)
@@ -90,7 +100,7 @@ def smote(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     if few <= k:
         raise ResampleError(f"{few} minority rows, more than {k} needed")
     base = dense_index(frame.where(F.col("label") == minority))
-    near = nearest_neighbours(base, base, k)
+    near = _neighbours(base, base, k)
     missing = many - few
     quota = F.lit(missing // few) + (F.col("row_index") < missing % few).cast("int")
     return frame.unionByName(_interpolate(base, quota, near, minority, seed))
@@ -104,7 +114,7 @@ def adasyn(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
         raise ResampleError(f"{few} minority rows, more than {k} needed")
     base = dense_index(frame.where(F.col("label") == minority))
     hardness = (
-        nearest_neighbours(base, frame, k)
+        _neighbours(base, frame, k)
         .groupBy("id")
         .agg((F.count_if(F.col("nlabel") != minority) / F.lit(k)).alias("hardness"))
     )
@@ -113,14 +123,14 @@ def adasyn(frame: DataFrame, k: int = NEIGHBOURS, seed: int = 42) -> DataFrame:
     if not total:
         raise ResampleError("no minority row has a majority neighbour")
     quota = F.rint(F.col("hardness") / F.lit(total) * F.lit(many - few)).cast("bigint")
-    near = nearest_neighbours(base, base, k)
+    near = _neighbours(base, base, k)
     return frame.unionByName(_interpolate(weighted, quota, near, minority, seed))
 
 
 def tomek_links(frame: DataFrame) -> DataFrame:
     """Ids of rows in a link: mutual nearest neighbours of opposite class."""
     frame = _fixed(frame)
-    nearest = nearest_neighbours(frame, frame, 1).select("id", "neighbour", "nlabel")
+    nearest = _neighbours(frame, frame, 1).select("id", "neighbour", "nlabel")
     opposite = nearest.join(frame.select("id", "label"), "id").where("label <> nlabel")
     # a pair seen from both ends is mutual; counting pairs needs no join on a crowded neighbour
     pairs = opposite.groupBy(F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b"))
@@ -136,7 +146,7 @@ def remove_tomek_links(frame: DataFrame) -> DataFrame:
 def edited(frame: DataFrame, k: int = CLEANING_NEIGHBOURS) -> DataFrame:
     """Keep rows whose k nearest neighbours all have their label."""
     frame = _fixed(frame)
-    near = nearest_neighbours(frame, frame, k)
+    near = _neighbours(frame, frame, k)
     strangers = (
         near.join(frame.select("id", "label"), "id").where("label <> nlabel").select("id").distinct()
     )
