@@ -268,6 +268,37 @@ def kendall_correlation(spark, sf):
     return _rounded(reduce.target_correlations(numbers(spark, sf), NUMBERS, "target", "kendall"))
 
 
+def _tau_lines(c):
+    """Inverted pairs from running counts of each line number below a value."""
+    numbers_ = range(1, 8)
+    inverted = " + ".join(f"c{y} * (" + " + ".join(f"b{z}" for z in numbers_ if z > y) + ")" for y in numbers_ if y < 7)
+    twos = lambda n: f"sum({n} * ({n} - 1) / 2)"
+    return f"""
+        select '{c}' as feature,
+               round((every - tx - ty + txy - 2 * inverted) / nullif(sqrt((every - tx) * (every - ty)), 0), 6) as correlation
+        from (
+            select sum({inverted})::double as inverted, {twos("n")}::double as tx, sum(n)::double * (sum(n) - 1) / 2 as every,
+                   ({" + ".join(f"sum(c{y}) * (sum(c{y}) - 1) / 2" for y in numbers_)})::double as ty,
+                   ({" + ".join(twos(f"c{y}") for y in numbers_)})::double as txy
+            from (
+                select *, {", ".join(f"coalesce(sum(c{y}) over w, 0) as b{y}" for y in numbers_)}
+                from (select {c} as x, count(*) as n,
+                             {", ".join(f"count(*) filter (l_linenumber = {y}) as c{y}" for y in numbers_)}
+                      from t where {c} is not null group by 1)
+                window w as (order by x rows between unbounded preceding and 1 preceding)
+            )
+        )"""
+
+
+@query(
+    "kendall_many_values",
+    f"with {NUMBERS_SQL} " + " union all ".join(_tau_lines(c) for c in NUMBERS),
+)
+def kendall_many_values(spark, sf):
+    """Tau-b of each measure against the line number, which has seven values."""
+    return _rounded(reduce.target_correlations(numbers(spark, sf), NUMBERS, "l_linenumber", "kendall"))
+
+
 @query(
     "correlation_matrix",
     f"with {NUMBERS_SQL} "

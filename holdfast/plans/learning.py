@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from holdfast.operators import explain, learn, metrics, models, resample
+from holdfast.operators import explain, learn, metrics, models, projections, resample
 from holdfast.plans.registry import query, table
 
 FEATURES = ["lines", "quantity", "price", "discount", "tax", "balance"]
@@ -100,6 +100,27 @@ def smote_counts(spark, sf):
     )
 
 
+@query(
+    "wide_neighbours",
+    """
+    with v as (select vec_id, embedding::double[] as vec from embeddings where embedding is not null),
+    d as (
+        select a.vec_id as id, b.vec_id as neighbour, list_distance(a.vec, b.vec) as distance
+        from v a join v b on a.vec_id <> b.vec_id
+    ),
+    r as (select *, row_number() over (partition by id order by distance, neighbour) as rank from d)
+    select id, rank, neighbour, round(distance, 6) as distance from r where rank <= 5
+    """,
+)
+def wide_neighbours(spark, sf):
+    """The five nearest vectors of every embedding, by projection trees."""
+    vectors = table(spark, sf, "embeddings").where("embedding is not null").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), F.coalesce("label", F.lit(-1)).alias("label")
+    )
+    near, _ = projections.projected_neighbours(vectors, vectors, 5)
+    return near.select("id", "rank", "neighbour", F.round("distance", 6).alias("distance"))
+
+
 def _class_summary(frame):
     return frame.groupBy("label").agg(
         F.count(F.lit(1)).alias("n"),
