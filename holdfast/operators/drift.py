@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast.functions.ordered import running_sums
 from holdfast.operators.quality import col, numeric_columns, value_shares
@@ -264,6 +267,38 @@ def kolmogorov_tail(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(z < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
 
 
+#: Values a sample may have for an exact p-value within about a second a feature.
+EXACT_VALUES = 10_000
+
+
+def path_tail(statistic: float, n: int, m: int) -> float:
+    """Exact two-sided p-value: the share of orders of n and m different values whose distance between the two
+    step functions reaches the statistic.
+
+    An order is a path from (0, 0) to (n, m). All points of one diagonal are stepped at once; each holds the
+    share of the paths to it that stay closer than the statistic. Ties make it an upper bound.
+    """
+    reach = round(statistic * n * m)
+    if reach <= 0:
+        return 1.0
+    inside = np.ones(1)
+    low = 0  # first coordinate of the diagonal's first point
+    for step in range(1, n + m + 1):
+        first, last = max(0, step - m), min(n, step)
+        i = np.arange(first, last + 1)
+        before = np.zeros(last - first + 3)  # points first - 1 to last + 1 of the diagonal before
+        before[low - first + 1 : low - first + 1 + len(inside)] = inside
+        inside = (before[:-2] * i + before[1:-1] * (step - i)) / step
+        inside[np.abs(i * m - (step - i) * n) >= reach] = 0.0
+        low = first
+    return float(min(1.0, max(0.0, 1.0 - inside[0])))
+
+
+@F.pandas_udf(T.DoubleType())
+def _path_tails(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([path_tail(float(d), int(a), int(b)) for d, a, b in zip(statistic, n, m)], dtype="float64")
+
+
 def distribution_skew(
     train: DataFrame,
     serve: DataFrame,
@@ -271,9 +306,11 @@ def distribution_skew(
     threshold: float = 0.1,
     ignore: Sequence[str] = (),
     first: int | None = None,
+    exact_values: int = 0,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic, asymptotic p-value and flag per feature; ``first``
-    limits the report to that many features in name order."""
+    """Two-sample Kolmogorov-Smirnov statistic, p-value and flag per feature; ``first`` limits the report to
+    that many features in name order. The p-value is the asymptotic one; with ``exact_values`` (such as
+    ``EXACT_VALUES``) it is exact while neither sample has more values of the feature than that."""
     features = list(features or common_features(train, serve, ignore))[:first]
     # features travel as numbers: one row per feature and distinct value is shuffled
     cells = [F.struct(F.lit(i).alias("f"), F.col(f"_{i}").alias("value")) for i in range(len(features))]
@@ -288,16 +325,27 @@ def distribution_skew(
     n, m = F.col("all_train"), F.col("all_serve")
     gap = F.abs(F.col("cum_train") / n - F.col("cum_serve") / m)
     names = F.array(*[F.lit(c) for c in features])
-    return (
+    told = (
         running.where((n >= MIN_VALUES) & (m >= MIN_VALUES))
         .groupBy("f")
         .agg(F.max(gap).alias("ks"), F.max(n).alias("n"), F.max(m).alias("m"))
-        .select(
-            F.get(names, F.col("f")).alias("feature"),
-            F.round("ks", 6).alias("ks_statistic"),
-            F.round(kolmogorov_tail(F.col("ks"), F.col("n"), F.col("m")), 6).alias("ks_pvalue"),
-            (F.col("ks") > threshold).alias("skewed"),
-        )
+    )
+    asymptotic = kolmogorov_tail(F.col("ks"), F.col("n"), F.col("m"))
+    if not exact_values:
+        return _skews(told, names, asymptotic, threshold)
+    # Python sees every argument, so samples beyond the bound are passed as empty ones
+    small = F.greatest("n", "m") <= exact_values
+    sizes = [F.when(small, F.col(c)).otherwise(0) for c in ("n", "m")]
+    told = told.withColumn("exact", _path_tails("ks", *sizes))
+    return _skews(told, names, F.when(small, F.col("exact")).otherwise(asymptotic), threshold)
+
+
+def _skews(told: DataFrame, names: Column, p_value: Column, threshold: float) -> DataFrame:
+    return told.select(
+        F.get(names, F.col("f")).alias("feature"),
+        F.round("ks", 6).alias("ks_statistic"),
+        F.round(p_value, 6).alias("ks_pvalue"),
+        (F.col("ks") > threshold).alias("skewed"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from holdfast.operators import sketches
 from holdfast.plans import distributions
 from holdfast.plans.registry import query, table
 from holdfast.session import fresh_path
@@ -137,6 +138,27 @@ def window_p99_1min(spark, sf):
     return _shown(windows.window_percentiles_exact(points(spark, sf), "ts", ["series"], "value", 60))
 
 
+@query(
+    "sketched_percentiles",
+    """
+    select to_timestamp(floor(epoch(ts) / 86400) * 86400)::timestamp::varchar as day, event_type as series,
+           count(*) as points, round(quantile_disc(value, 0.5), 6) as p50, round(quantile_disc(value, 0.99), 6) as p99
+    from events group by all
+    """,
+)
+def sketched_percentiles(spark, sf):
+    """Sketches of each minute, stored by day and merged to days; exact while a day has up to 1,024 values."""
+    folder = fresh_path(spark, "sketches")
+    seen = table(spark, sf, "events").select("ts", F.col("event_type").alias("series"), "value", "user_id")
+    minutes = sketches.sketched(seen, "ts", ["series"], "value", "user_id")
+    sketches.store(minutes, folder)
+    days = sketches.merged(sketches.read(spark, folder), ["series"], 86400, {"p50": 0.5, "p99": 0.99})
+    return days.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("day"), "series", "points",
+        F.round("p50", 6).alias("p50"), F.round("p99", 6).alias("p99"),
+    )
+
+
 @query(
     "window_sum",
     f"""

@@ -115,6 +115,29 @@ def clustered_layout(spark, sf):
     return spark.read.schema(f"{orders.schema.toDDL()}, bucket bigint").parquet(path)
 
 
+def bucketed_lines(spark, sf):
+    """Orders and lines in tables bucketed by order, joined and summed by order."""
+    orders, lines = _table_name("orders"), _table_name("lines")
+    tables.write_bucketed(table(spark, sf, "orders").selectExpr("o_orderkey as orderkey", "o_custkey"), orders, "orderkey", 16)
+    measures = table(spark, sf, "lineitem").selectExpr("l_orderkey as orderkey", "l_quantity")
+    tables.write_bucketed(measures, lines, "orderkey", 16)
+    joined = spark.read.table(orders).hint("merge").join(spark.read.table(lines), "orderkey", "left")
+    return joined.groupBy("orderkey", "o_custkey").agg(
+        F.count("l_quantity").alias("lines"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+
+
+@query(
+    "bucketed_merge",
+    """
+    select o_orderkey as orderkey, o_custkey, count(l_quantity) as lines, round(sum(l_quantity), 2) as quantity
+    from orders left join lineitem on o_orderkey = l_orderkey group by 1, 2
+    """,
+)
+def bucketed_merge(spark, sf):
+    return bucketed_lines(spark, sf)
+
+
 @query("declared_schemas", "select c_custkey, c_name, c_mktsegment, c_acctbal from customer where c_custkey is not null")
 def declared_schemas(spark, sf):
     """A schema given as text, applied to a Parquet read."""

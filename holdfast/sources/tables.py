@@ -148,6 +148,23 @@ def write_clustered(
     )
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Catalog table in buckets by key, one file each, sorted by the key.
+
+    Tables with the same number of buckets are joined, and grouped, by the key without a shuffle; Spark
+    still runs a sort over each bucket, which finds the rows in order. Rows
+    of one key lie in one bucket, so a key with a large share of the rows should be salted in the join instead.
+    """
+    (
+        df.repartition(buckets, F.col(_quoted(key)))
+        .sortWithinPartitions(F.col(_quoted(key)))
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -90,3 +90,32 @@ def test_stored_profile_gives_the_same_report(spark):
     row = drift.drift_report(profile, serve).first()
     assert row["train_distribution"] == {"0.0": 0.25, "1.0": 0.75}
     assert (row["features_analyzed"], row["drifted_features"], row["alert_triggered"]) == (3, 2, True)
+
+
+def test_exact_tail_by_all_orders():
+    from itertools import combinations
+
+    for n, m in ((1, 1), (2, 3), (4, 4), (5, 3), (1, 6)):
+        gaps = []
+        for taken in combinations(range(n + m), n):
+            a = np.cumsum(np.isin(np.arange(n + m), taken))
+            b = np.arange(1, n + m + 1) - a
+            gaps.append(np.abs(a * m - b * n).max())
+        for gap in {0, *gaps}:
+            want = np.mean(np.array(gaps) >= gap)
+            assert drift.path_tail(gap / (n * m), n, m) == pytest.approx(want)
+    # two samples of three without overlap: 2 of 20 orders
+    assert drift.path_tail(1.0, 3, 3) == pytest.approx(0.1)
+
+
+def test_p_value_turns_asymptotic_beyond_the_bound(spark):
+    train = spark.createDataFrame([(float(i),) for i in range(12)], "x double")
+    serve = spark.createDataFrame([(i + 4.5,) for i in range(12)], "x double")
+    exact = drift.distribution_skew(train, serve, exact_values=drift.EXACT_VALUES).first()["ks_pvalue"]
+    beyond = drift.distribution_skew(train, serve, exact_values=11).first()["ks_pvalue"]
+    assert drift.distribution_skew(train, serve).first()["ks_pvalue"] == beyond
+    d = 5 / 12
+    z = d * np.sqrt(6)
+    assert exact == pytest.approx(drift.path_tail(d, 12, 12), abs=1e-6)
+    assert beyond == pytest.approx(2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * z * z) for k in range(1, 101)), abs=1e-6)
+    assert exact != beyond

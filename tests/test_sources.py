@@ -77,3 +77,11 @@ def test_envelope_round_trip(spark):
     sent = df.select(messages.encode(F.struct("reason", "n")).alias("data"))
     back = sent.select(messages.decode(F.col("data"), "reason string, n int").alias("b")).select("b.*")
     assert back.collect() == [("x" * 200, 3)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf):
+    from holdfast.plans import storage
+
+    plan = storage.bucketed_lines(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert "Exchange" not in plan
