@@ -103,3 +103,34 @@ def test_tomek_links_and_edited_neighbours(spark):
     near = brute(xs, 3)
     want = [i for i in range(len(xs)) if all(ys[j] == ys[i] for _, j in near[i])]
     assert sorted(r["id"] for r in resample.edited(df).collect()) == want
+
+
+def test_large_boxes_compare_a_small_share_of_their_points(spark):
+    """A task's work grows with its queries, not with queries times points; far from zero and with ties, too."""
+    from holdfast.operators import neighbours
+
+    rng = np.random.default_rng(5)
+    vecs = np.concatenate([rng.normal(size=(6000, 3)), rng.normal(size=(6000, 3)).round(1)]) + 1e6
+    tree, compared = neighbours._Tree(vecs), 0
+    for start, end, rows in tree.groups(vecs):
+        limit = neighbours._kth_within(vecs[rows], tree.sorted[start:end], 4)
+        _, leaf = neighbours._reached(vecs[rows], limit, tree.lo, tree.hi)
+        compared += int(np.diff(tree.leaves, axis=1)[leaf].sum())
+    assert compared < 0.1 * len(vecs) ** 2
+    df = frame(spark, vecs, np.arange(len(vecs)) % 2)
+    got = {}
+    for r in nearest_neighbours(df.where("id % 60 = 0"), df, 4, 3000, 50, vectors=False).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
+    assert len(got) == len(vecs) // 60
+    for i, found in got.items():
+        distance = np.sqrt(((vecs - vecs[i]) ** 2).sum(axis=1))
+        distance[i] = np.inf
+        assert [j for _, j in sorted(found)] == np.lexsort((np.arange(len(vecs)), distance))[:4].tolist()
+
+
+def test_points_at_no_finite_place_are_left_out(spark):
+    df = frame(spark, [[0.0], [1.0], [float("nan")], [float("inf")], [3.0]], [0, 1, 0, 1, 0])
+    got = nearest_neighbours(df, df, 5, 2, 1).collect()
+    assert sorted((r["id"], r["rank"], r["neighbour"]) for r in got) == [
+        (0, 1, 1), (0, 2, 4), (1, 1, 0), (1, 2, 4), (4, 1, 1), (4, 2, 0)
+    ]
