@@ -59,8 +59,8 @@ def permutation_importance(
     for r in range(repeats):
         draw = random.Random(seed + r)
         deals.append((r, _coprime(n, draw), draw.randrange(n)))
-    # the product of two row numbers may pass 2^63, hence the decimal
-    big = F.col("row_index").cast("decimal(38,0)")
+    # the product of two row numbers may pass 2^63, hence the decimal for many rows
+    big = F.col("row_index").cast("bigint" if n <= 3_000_000_000 else "decimal(38,0)")
     asked = rows.withColumn(
         "_deal",
         F.explode(
@@ -76,10 +76,16 @@ def permutation_importance(
     swapped = (
         asked.join(donors, "donor")
         .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))))
-        .withColumn(
-            "vec", F.transform("vec", lambda x, i: F.when(i == F.col("j"), F.get("other", i)).otherwise(x))
+        .select(
+            F.array(
+                *[
+                    F.when(F.col("j") == i, F.get("other", F.lit(i))).otherwise(F.get("vec", F.lit(i)))
+                    for i in range(len(features))
+                ]
+            ).alias("vec"),
+            "label",
+            "j",
         )
-        .select("vec", "label", "j")
     )
     base = _accuracy_by(model, rows, []).scalar()
     names = F.array(*[F.lit(f) for f in features])
