@@ -95,6 +95,25 @@ def permutation_importance(
     )
 
 
+def _subset_shares(p: int, paths: int, seed: int) -> list[tuple[list[bool], list[float]]]:
+    """The sets of switched features that the paths pass, each once, and what a set's score adds to every feature's
+    attribution: the sets of many paths are alike, above all the empty and the full one."""
+    shares: dict[tuple[bool, ...], list[float]] = {}
+    for k in range(paths):
+        order = list(range(p))
+        random.Random(seed + k).shuffle(order)
+        held = [False] * p
+        for step in range(p + 1):
+            share = shares.setdefault(tuple(held), [0.0] * p)
+            # a score belongs to the feature switched at this step (+) and to the one switched next (-)
+            if step:
+                share[order[step - 1]] += 1 / paths
+            if step < p:
+                share[order[step]] -= 1 / paths
+                held[order[step]] = True
+    return [(list(held), share) for held, share in shares.items()]
+
+
 def sampled_shapley(
     model: Model, frame: DataFrame, features: Sequence[str], paths: int = PATHS, seed: int = 42
 ) -> DataFrame:
@@ -105,51 +124,21 @@ def sampled_shapley(
     """
     p = len(features)
     means = frame.agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(p)])).first()[0]
-    orders = []
-    for k in range(paths):
-        order = list(range(p))
-        random.Random(seed + k).shuffle(order)
-        place = [0] * p
-        for at, feature in enumerate(order):
-            place[feature] = at + 1
-        orders.append((order, place))
-    fixed = materialise(frame.select("vec", "label"))
-    numbered = dense_index(fixed)
     as_array = lambda values: F.array(*[F.lit(v) for v in values])
-    path = F.array(*[F.struct(F.lit(k).alias("path"), as_array(place).alias("place")) for k, (_, place) in enumerate(orders)])
-    steps = (
-        numbered.withColumn("_p", F.explode(path))
-        .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(p))))
-        .withColumn("_mean", as_array(means))
-        .withColumn(
-            "vec",
-            F.transform(
-                "vec",
-                lambda x, i: F.when(F.get(F.col("_p.place"), i) <= F.col("step"), x).otherwise(F.get("_mean", i)),
-            ),
-        )
-        .select("row_index", "_p.path", "step", "vec", "label")
-    )
-    score = scored(model, steps).select("row_index", "path", "step", "predicted_probability")
-    # a score belongs to the feature switched at this step (+) and to the one switched next (-)
-    switched = F.array(*[as_array([f for f in order]) for order, _ in orders])
-    of_path = F.get(switched, F.col("path"))
-    shares = F.array(
-        F.struct(F.get(of_path, F.col("step") - 1).alias("j"), F.col("predicted_probability").alias("part")),
-        F.struct(F.get(of_path, F.col("step")).alias("j"), (-F.col("predicted_probability")).alias("part")),
+    subsets = F.array(
+        *[F.struct(as_array(held).alias("held"), as_array(share).alias("share")) for held, share in _subset_shares(p, paths, seed)]
     )
-    per_row = (
-        score.select("row_index", F.inline(shares))
-        .where("j is not null")
-        .groupBy("row_index", "j")
-        .agg((F.sum("part") / paths).alias("attribution"))
-    )
-    names = F.array(*[F.lit(f) for f in features])
-    return (
-        per_row.groupBy("j")
-        .agg(F.avg(F.abs("attribution")).alias("shapley"))
-        .select(F.get(names, F.col("j")).alias("feature"), "shapley")
+    fixed = materialise(frame.select("vec", "label"))
+    numbered = dense_index(fixed)
+    mixed = F.array(*[F.when(F.get("_s.held", F.lit(i)), F.get("vec", F.lit(i))).otherwise(F.lit(means[i])) for i in range(p)])
+    steps = numbered.withColumn("_s", F.explode(subsets)).select("row_index", "_s.share", mixed.alias("vec"), "label")
+    scores = scored(model, steps).select("row_index", "share", "predicted_probability")
+    per_row = scores.groupBy("row_index").agg(
+        *[F.sum(F.get("share", F.lit(j)) * F.col("predicted_probability")).alias(f"a{j}") for j in range(p)]
     )
+    sums = per_row.agg(*[F.avg(F.abs(F.col(f"a{j}"))).alias(f"a{j}") for j in range(p)])
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"a{j}").alias("shapley")) for j, f in enumerate(features)])
+    return sums.select(F.inline(rows)).where("shapley is not null")
 
 
 def ranked_importance(native: DataFrame, permutation: DataFrame, top: int | None = None) -> DataFrame:

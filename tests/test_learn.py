@@ -175,3 +175,14 @@ def test_manifest_and_log(spark, frame, trained):
     assert log.count() == 4 and log.first()["metrics"]["auc"] > 0
     tuned = spark.createDataFrame([("tree_tuned", 0.9)], "model string, auc double")
     assert models.with_tuned(results, tuned).count() == 5
+
+
+def test_shapley_scores_every_set_of_features_once():
+    """175 steps of 25 paths over six features pass at most 2 ** 6 sets; shares are those of the steps."""
+    shares = explain._subset_shares(6, 25, 42)
+    sets = [tuple(held) for held, _ in shares]
+    assert len(sets) == len(set(sets)) <= 64
+    of = {tuple(held): share for held, share in shares}
+    # whatever the score of the empty and full set, attributions add up to their difference
+    assert sum(of[(True,) * 6]) == pytest.approx(1.0) and sum(of[(False,) * 6]) == pytest.approx(-1.0)
+    assert all(sum(share) == pytest.approx(0.0) for held, share in shares if any(held) and not all(held))
