@@ -21,7 +21,7 @@ def bucket_count(spark: SparkSession) -> int:
     return min(4096, 1 << max(2, (wanted - 1).bit_length()))
 
 
-def _bucket_of(value: Column, borders: Column, buckets: int) -> Column:
+def bucket_of(value: Column, borders: Column, buckets: int) -> Column:
     """Number of borders below the value, by bisection."""
     steps = []
     step = buckets // 2
@@ -57,7 +57,7 @@ def _with_buckets(
     ).scalar()
     # a subquery cannot stand inside the lambda, so it passes through a column
     placed = df.withColumn("_borders", borders)
-    placed = placed.withColumn("_bucket", _bucket_of(position, F.col("_borders.at"), buckets)).drop("_borders")
+    placed = placed.withColumn("_bucket", bucket_of(position, F.col("_borders.at"), buckets)).drop("_borders")
     nullable = any(f.nullable for f in df.schema.fields if f.name in keys)
     if not nullable:
         return placed, list(keys)
