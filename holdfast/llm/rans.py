@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,70 +141,107 @@ def unpack(data: bytes, blocks: range | None = None) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
+#: Latin letters that lower to one letter each, and ASCII marks behind them: two parts of their own.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+LATIN_WORD = rf"^(?P<bare>[{LETTERS}]+)(?P<mark>[!-/:-@\[-`{{-~]*)$"
+BARE_WORD = rf"^[{LETTERS}]+$"
+
+
 class WordIds:
     """Ids of texts by the tokenizers library, word by word, with the ids of seen words kept.
 
     The vocabulary drops white space before anything else looks at a text, so the parts between blanks
     and line breaks are encoded on their own. Latin words differ only in case from their lower form, and
-    a comma or full stop behind one is a part of its own.
+    the marks behind one are a part of their own; such lower forms are one part and need no rules but the merges.
     """
 
-    MAX_WORDS = 500_000
+    #: Words kept, words that the library gets at once, and characters that are handled at once.
+    MAX_WORDS, AT_ONCE, SLAB = 500_000, 10_000, 2_000_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.model = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.marks = {m: self._ids(m) for m in ",."}
+        self.merges = Tokenizer(self.model.model)
+        self.merges.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        # the piece that ends a part says so
+        suffix, vocabulary = self.model.model.end_of_word_suffix, self.model.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        if suffix:
+            self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+        self.words: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, missing: list[str]) -> None:
-        plain: dict[str, str | tuple[str, str]] = {}
-        todo: set[str] = set()
-        for word in missing:
-            if word.isascii():
-                if word.isalpha():
-                    plain[word] = word.lower()
-                elif word[-1:] in self.marks and word[:-1].isalpha():
-                    plain[word] = (word[:-1].lower(), word[-1])
-                else:
-                    todo.add(word)
-            else:
-                todo.add(word)
-        for form in plain.values():
-            bare = form if isinstance(form, str) else form[0]
-            if bare not in self.words:
-                todo.add(bare)
-        order = list(todo)
-        if order:
-            told = self.model.encode(order, is_pretokenized=True, add_special_tokens=False)
-            # special strings belong to no word: words that may hold one are encoded alone
-            index = np.array([-1 if w is None else w for w in told.word_ids], np.int64)
-            ids = np.array(told.ids, "<u4")
-            ends = np.searchsorted(index, np.arange(len(order)), side="right").tolist() if not (index < 0).any() else None
-            if ends is None:
-                for word in order:
-                    self.words[word] = self._ids(word)
+    def _keep(self, order: list[str], ids: np.ndarray, ends: list[int]) -> None:
+        raw, start = ids.tobytes(), 0
+        for word, end in zip(order, ends):
+            self.words[word] = raw[4 * start : 4 * end]
+            start = end
+
+    def _learn_lower(self, order: list[str]) -> None:
+        """Keep the ids of lower Latin words."""
+        for first in range(0, len(order), self.AT_ONCE):
+            part = order[first : first + self.AT_ONCE]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part):
+                self._keep(part, ids, ends.tolist())
             else:
-                raw, start = ids.tobytes(), 0
-                for word, end in zip(order, ends):
-                    self.words[word] = raw[4 * start : 4 * end]
-                    start = end
-        for word, form in plain.items():
-            self.words[word] = self.words[form] if isinstance(form, str) else self.words[form[0]] + self.marks[form[1]]
+                self._learn(part)
+
+    def _learn(self, order: list[str]) -> None:
+        """Keep the ids of any words."""
+        if not order:
+            return
+        told = self.model.encode(order, is_pretokenized=True, add_special_tokens=False)
+        # special strings belong to no word: words that may hold one are encoded alone
+        index = np.array([-1 if w is None else w for w in told.word_ids], np.int64)
+        if (index < 0).any():
+            for word in order:
+                self.words[word] = self._ids(word)
+        else:
+            self._keep(order, np.array(told.ids, "<u4"), np.searchsorted(index, np.arange(len(order)), side="right").tolist())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        if not texts:
+            return []
+        parts = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        latin = pc.extract_regex(coded.dictionary, LATIN_WORD)
+        fits = latin.is_valid()
+        words = pc.if_else(fits, pc.utf8_lower(pc.struct_field(latin, "bare")), coded.dictionary).dictionary_encode()
+        marks = pc.if_else(fits, pc.struct_field(latin, "mark"), "").dictionary_encode()
         if len(self.words) > self.MAX_WORDS:
-            self.words.clear()
-        self._learn([w for w in set().union(*parts) if w not in self.words])
-        at = self.words.__getitem__
-        return [b"".join(map(at, p)) for p in parts]
+            self.words = {"": b""}
+        names = words.dictionary.to_pylist() + marks.dictionary.to_pylist()
+        made = list(map(self.words.get, names))
+        missing = {n for n, ids in zip(names, made) if ids is None}
+        if missing:
+            order = list(missing)
+            plain = pc.match_substring_regex(pa.array(order, pa.large_string()), BARE_WORD).to_pylist()
+            self._learn_lower([n for n, p in zip(order, plain) if p])
+            self._learn([n for n, p in zip(order, plain) if not p])
+            made = list(map(self.words.__getitem__, names))
+        # ids of the different names, then of the different parts (a word and its marks), then of all parts
+        flat, upto = np.frombuffer(b"".join(made), "<u4"), np.concatenate([[0], np.cumsum(np.fromiter(map(len, made), np.int64, len(made)) // 4)])
+        both = np.stack([words.indices.to_numpy(), marks.indices.to_numpy() + len(words.dictionary)], axis=1)
+        flat, ends = _gathered(flat, upto, both.ravel())
+        flat, upto = _gathered(flat, ends[::2], coded.indices.to_numpy())
+        raw = flat.tobytes()
+        at = (4 * upto[parts.offsets.to_numpy() - parts.offsets[0].as_py()]).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
+def _gathered(flat: np.ndarray, upto: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat``, whose borders are ``upto``, in the order of codes, and the borders of what comes out."""
+    sizes = np.diff(upto)[codes]
+    borders = np.concatenate([[0], np.cumsum(sizes)])
+    return flat[np.repeat(upto[codes] - borders[:-1], sizes) + np.arange(borders[-1])], borders
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -244,7 +282,7 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1, do
         for batch in batches:
             id_type = batch.column(0).type
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slabs(texts):
+            for a, b in slabs(texts, own.SLAB):
                 for name, encoded in zip(ids[a:b], own.encode(texts[a:b])):
                     names.append(name)
                     kept.append(encoded + tail)
@@ -254,6 +292,8 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1, do
                         names, kept, size, number = [], [], 0, number + 1
         if names:
             yield close()
+        # the worker goes on to other tasks; what this one took goes back
+        pa.default_memory_pool().release_unused()
 
     ordered.mapInArrow(work, schema).write.mode("overwrite").parquet(folder)
 

@@ -45,6 +45,22 @@ def test_words_equal_the_library(words_model):
     check()
 
 
+def test_latin_words_with_marks_need_only_the_merges(words_model, monkeypatch):
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    marks = ["", ",", "%%%", ",!!", "'", "'s", "_.", "<|", "1"]
+    text = " ".join(f"{a}{b}{m}" for a in letters for b in ("", "x", "É") for m in marks)
+    own, library = rans.WordIds(words_model), Tokenizer.from_file(words_model)
+    assert list(memoryview(own.encode([text])[0]).cast("I")) == library.encode(text, add_special_tokens=False).ids
+    # each lower form is encoded once, whatever its case and marks, and only the marks by the library's rules
+    slow, fast = [], []
+    own = rans.WordIds(words_model)
+    learn, learn_lower = own._learn, own._learn_lower
+    monkeypatch.setattr(own, "_learn", lambda order: (slow.extend(order), learn(order)))
+    monkeypatch.setattr(own, "_learn_lower", lambda order: (fast.extend(order), learn_lower(order)))
+    own.encode(["Éclair éclair%%% ÉCLAIR, word.", "Word\n%%%"])
+    assert sorted(fast) == ["word", "éclair"] and sorted(slow) == ["%%%", ",", "."]
+
+
 def test_files(spark, documents, odd, words_model, tmp_path, monkeypatch):
     library = Tokenizer.from_file(words_model)
     rows = odd + [(i, f"text number {i}, " * (i % 7)) for i in range(100, 160)]
