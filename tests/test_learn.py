@@ -121,6 +121,27 @@ def test_search_picks_the_best_setting(frame):
     assert len(settings) == 20 and settings == learn.sample_settings("xgboost", 20)
 
 
+def test_search_fits_trees_that_differ_in_depth_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 40, (600, 3)).astype(float)
+    y = ((x[:, 0] > 20) ^ (x[:, 1] > 12) ^ (rng.random(600) < 0.25)).astype(int)
+    frame = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, y))], "id bigint, vec array<double>, label int")
+    settings = [{"maxDepth": d, "minInstancesPerNode": n, "impurity": k} for n, k in ((1, "gini"), (4, "entropy")) for d in (20, 0, 1, 2, 3, 5, 9)]
+    ready = learn.materialise(learn.fold_assignment(learn.with_vectors(frame), "id", 3).select("id", "features", "label", "fold"))
+    plain = learn.BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
+    fitted, fit = [], learn.DecisionTreeClassifier._fit
+    monkeypatch.setattr(learn.DecisionTreeClassifier, "_fit", lambda self, data: (fitted.append(self), fit(self, data))[1])
+    _, tried = learn.search(frame, "decision_tree", folds=3, settings=settings)
+    assert len(fitted) == 2 * 3 + 1
+    got = [r["mean_auc"] for r in tried.orderBy("setting").collect()]
+    for setting, area in zip(settings, got):
+        areas = []
+        for fold in range(3):
+            model = learn.estimator("decision_tree", 600, **setting).fit(ready.where(F.col("fold") != fold))
+            areas.append(plain.evaluate(model.transform(ready.where(F.col("fold") == fold))))
+        assert area == pytest.approx(np.mean(areas), abs=1e-12), setting
+
+
 def test_batch_predictions_and_artifact(spark, frame, trained):
     _, fitted, split = trained
     model = fitted["logistic_regression_none"]
