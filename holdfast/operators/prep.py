@@ -118,18 +118,19 @@ def harmonise(df: DataFrame, types: dict[str, str] = STUDENT_TYPES) -> DataFrame
 def harmonise_report(df: DataFrame, types: dict[str, str] = STUDENT_TYPES) -> DataFrame:
     """One row: rows in and out, duplicates, coerced columns, columns that needed filling."""
     unique = unique_columns(df)
-    coerced = coerce_types(unique.distinct(), types)
-    fillable = [f.name for f in coerced.schema.fields if sentinel(f.dataType) is not None]
+    # distinct rows with the number of their copies, so one pass tells all counts
+    copies = next(n for n in ("_copies" + "_" * i for i in range(len(unique.columns) + 1)) if n not in unique.columns)
+    coerced = coerce_types(unique.groupBy(*[col(c) for c in unique.columns]).agg(F.count(F.lit(1)).alias(copies)), types)
+    fillable = [f.name for f in coerced.schema.fields if f.name != copies and sentinel(f.dataType) is not None]
     filled = F.lit(0)
     for i in range(len(fillable)):
         filled = filled + (F.col(f"f{i}") > 0).cast("int")
-    initial = unique.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         coerced.agg(
             F.count(F.lit(1)).alias("output_rows"),
+            F.coalesce(F.sum(copies), F.lit(0).cast("bigint")).alias("initial_rows"),
             *[F.count_if(col(c).isNull()).alias(f"f{i}") for i, c in enumerate(fillable)],
         )
-        .withColumn("initial_rows", initial)
         .select(
             "initial_rows",
             (F.col("initial_rows") - F.col("output_rows")).alias("duplicates_removed"),

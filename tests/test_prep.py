@@ -28,6 +28,14 @@ def test_harmonise(spark):
     assert (report["initial_rows"], report["duplicates_removed"], report["output_rows"], report["columns_coerced"]) == (4, 1, 3, 5)
 
 
+def test_report_counts_rows_in_one_pass(spark):
+    df = spark.createDataFrame([("s", 1.0, 1), ("s", 1.0, 2), (None, None, 3), (None, None, 3)], "student_id string, hs_gpa double, _copies int")
+    report = prep.harmonise_report(df)
+    assert "ubquery" not in report._jdf.queryExecution().executedPlan().toString()
+    assert tuple(report.first()) == (4, 1, 2, 2, 3, 3)
+    assert tuple(prep.harmonise_report(df.limit(0)).first()) == (0, 0, 2, 0, 0, 3)
+
+
 def test_dates_stay_null(spark):
     df = spark.sql("select 's' as student_id, cast(null as date) as event_date")
     assert prep.harmonise(df).first()["event_date"] is None

@@ -21,6 +21,28 @@ def test_latest_values_may_mix_rows(spark):
     assert whole["a"] == (3, None, None)
 
 
+def test_latest_values_with_ties_by_order_and_by_aggregate(spark):
+    rows = [(i % 7 if i % 11 else None, i % 3, i % 5 if i % 4 else None, float(i % 6) if i % 3 else None, f"w{i % 2}" if i % 5 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, t int, u int, v double, w string")
+    order = ["t", "u", "v", "w"]
+    ordered, folded = (relate.latest_values(df, "k", order, hot_rows=n) for n in (1_000_000, 1))
+    assert sorted(ordered.collect(), key=str) == sorted(folded.collect(), key=str)
+    known = {}
+    for row in sorted(rows, key=lambda r: [(x is not None, x) if x is not None else (False, 0) for x in r[1:]]):
+        known.setdefault(row[0], {}).update({c: x for c, x in zip(order, row[1:]) if x is not None})
+    assert {r["k"]: {c: r[c] for c in order if r[c] is not None} for r in ordered.collect()} == known
+    # values keep no order of their own through the shuffle
+    assert "max_by" not in ordered._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_without_hot_keys_keep_rows_in_place(spark, events):
+    sides = [(spark.createDataFrame([(f"s{i}", i)], f"student_id string, x{i} int").distinct(), "") for i in range(2)]
+    merged = relate.merge_tables(events.hint("shuffle_merge"), "student_id", [(side.hint("shuffle_merge"), s) for side, s in sides])
+    plan = merged.distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in plan and "x0" in plan
+    assert "hashpartitioning(student_id" in plan and plan.count("Exchange") <= 1 + 2 * len(sides)
+
+
 def test_right_duplicates_multiply_rows(spark, events):
     right = spark.createDataFrame([("s1", "a"), ("s1", "b"), ("s2", "c")], "student_id string, name string")
     merged = relate.merge_tables(events, "student_id", [(right, "_r")], F.col("event_type") == "enrollment")
