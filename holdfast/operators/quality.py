@@ -46,20 +46,27 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Non-null distinct count per column, in one pass: (column, digest of the value) pairs are
     de-duplicated before the shuffle and counted after it.
 
-    A digest is 128 bits, whatever the length of a value. Zero counts once, with either sign.
+    A digest is the hash of 64 bits, which differs for all numbers, flags and dates of a type, and beside it a second
+    one of anything else, whatever its length. Zero counts once, with either sign.
+    The hashes of a row are two arrays: a struct a column makes a method too long for the JVM to compile.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
+    single = (T.IntegralType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    plain = {c for c in columns if isinstance(types[c], single)}
 
-    def digest(c: str) -> Column:
-        # adding zero turns a negative zero into a positive one
-        value = col(c) + F.lit(0.0).cast(types[c]) if isinstance(types[c], (T.FloatType, T.DoubleType)) else col(c)
-        return F.unhex(F.md5(value.cast("string").cast("binary")))
+    def digest(c: str, *seed: Column) -> Column:
+        value = col(c) if c in plain else col(c).cast("string").cast("binary")
+        return F.when(col(c).isNotNull(), F.xxhash64(*seed, value))
 
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), digest(c).alias("value")) for i, c in enumerate(columns)])
+    wide = df.select(
+        F.array(*[digest(c) for c in columns]).alias("first"),
+        F.array(*[F.lit(None).cast("bigint") if c in plain else digest(c, F.lit("_")) for c in columns]).alias("second"),
+    )
     names = F.array(*[F.lit(c) for c in columns])
     return (
-        df.select(F.inline(cells))
-        .where("value is not null")
+        wide.select(F.posexplode("first").alias("i", "first"), "second")
+        .where("first is not null")
+        .select("i", "first", F.get("second", F.col("i")).alias("second"))
         .distinct()
         .groupBy("i")
         .agg(F.count(F.lit(1)).alias("distinct_count"))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,23 @@ def test_schema_differences_and_names(spark, frame):
     got = {r["column"]: r["status"] for r in quality.schema_differences(["id", "nope"], frame).collect()}
     assert got == {"id": "common", "nope": "missing", "hs_gpa": "extra", "sat_score": "extra", "event_date": "extra", "y": "extra"}
     assert quality.date_like_columns(["Birth_DATE", "x_dt", "dtx"]) == ["Birth_DATE", "x_dt"]
+
+
+def test_distinct_counts_of_many_types(spark):
+    df = spark.sql(
+        """select if(id % 10 = 0, null, cast(id % 7 as int)) as i, if(id % 2 = 0, -0.0d, if(id % 3 = 0, double('NaN'), 0.0d)) as d,
+                  id % 2 = 0 as b, date '2020-01-01' + cast(id % 5 as int) as day, concat('w', id % 11) as w, cast(null as string) as none,
+                  cast(id % 4 as decimal(25, 2)) as big, array(if(id % 2 = 0, null, 1), 1) as a from range(200)"""
+    )
+    got = {r["column"]: r["distinct_count"] for r in quality.distinct_counts(df, df.columns).collect()}
+    assert got == {"i": 7, "d": 2, "b": 2, "day": 5, "w": 11, "big": 4, "a": 2}
+
+
+def test_distinct_counts_compile_for_forty_columns(spark):
+    df = spark.range(100).repartition(2).select(*[(F.col("id") % (i + 1)).cast("double").alias(f"c{i}") for i in range(40)]).localCheckpoint()
+    counts = quality.distinct_counts(df, df.columns)
+    assert {r["column"]: r["distinct_count"] for r in counts.collect()} == {f"c{i}": i + 1 for i in range(40)}
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    text = counts._jdf.queryExecution().explainString(mode)
+    # longer methods are interpreted
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
