@@ -4,7 +4,9 @@ Vectors are centred, and rotated so that the signs of their coordinates lose lit
 quantisation, fitted on a bounded sample). The signs are the code, cut into tables of ``WIDTH`` bits.
 Two vectors are candidates if in some table their bits differ in one place at most: a vector is stored
 under its own bits and probes these and their neighbours. A pair found in several tables is taken in
-the first. Candidates whose whole codes are close are compared by cosine in double precision.
+the first. Candidates whose whole codes are close are compared by cosine in double precision, unless a few
+coordinates of both show that it cannot reach the threshold: those alone meet in the buckets, so only
+pairs that may be links fetch their vectors.
 
 Equal vectors of one label are one point with a number of copies, so a common vector is
 one row. Defined results: vectors that are null, empty, zero or hold null or non-finite components, and
@@ -18,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ from holdfast.llm.graph import components
 #: Bits of a code and of a table, differing bits at which whole codes still count as close, sampled vectors.
 BITS, WIDTH, RADIUS, SAMPLE = 64, 10, 26, 10_000
 THRESHOLD = 0.93
+#: Coordinates of a sketch, its steps in one, and what its rounding may take from a bound, many times over.
+COORDINATES, STEPS, SLACK = 16, 32_767, 1e-3
 
 
 def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +65,14 @@ def _units(vectors: list, size: int) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _sketches(units: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Coordinates along the basis and the length of what is left: the products of two rows add up to no less
+    than the cosine of their vectors."""
+    along = units @ basis
+    rest = np.sqrt(np.maximum(1 - (along * along).sum(axis=1), 0))
+    return np.rint(np.column_stack([along, rest]) * STEPS).astype(np.int16)
+
+
 def _points(vectors: DataFrame) -> DataFrame:
     """A row per distinct usable vector: point (its least id), label, vector, copies; and the rows they stand for."""
     usable = vectors.where(F.col("label").isNotNull() & (F.size("vector") > 0))
@@ -74,34 +87,46 @@ def linked_points(points: DataFrame, threshold: float = THRESHOLD, sample: int =
         return points.sparkSession.createDataFrame([], "a bigint, b bigint")
     chosen = points.orderBy(F.xxhash64("point"), "point").select("point").limit(sample)
     drawn = [r[0] for r in points.join(F.broadcast(chosen), "point", "left_semi").orderBy("point").select("vector").collect()]
-    centre, turn = learn_rotation(_units(drawn, size))
-    sent = points.sparkSession.sparkContext.broadcast((centre, turn))
+    drawn = _units(drawn, size)
+    centre, turn = learn_rotation(drawn)
+    basis = np.linalg.eigh(drawn.T @ drawn)[1][:, ::-1][:, :COORDINATES]
+    sent = points.sparkSession.sparkContext.broadcast((centre, turn, basis))
     tables = [(k, min(WIDTH, BITS - k)) for k in range(0, BITS, WIDTH)]
     if tables[-1][1] < WIDTH:  # bits left over widen the last table
         tables = tables[:-2] + [(tables[-2][0], tables[-2][1] + tables[-1][1])]
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centre, turn = sent.value
+        centre, turn, basis = sent.value
         weights = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
         for batch in batches:
-            signs = (_units(batch["vector"].tolist(), len(centre)) - centre) @ turn > 0
+            units = _units(batch["vector"].tolist(), len(centre))
+            signs = (units - centre) @ turn > 0
             codes = (signs * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
-            yield batch[["point", "label", "size"]].assign(code=codes)
+            yield batch[["point", "label", "size"]].assign(code=codes, sketch=[row.tobytes() for row in _sketches(units, basis)])
 
     kinds = dict(points.dtypes)
     sized = points.withColumn("size", F.size("vector"))
-    codes = stage(sized.mapInPandas(code, f"point bigint, label {kinds['label']}, size int, code bigint"), "codes")
+    codes = stage(sized.mapInPandas(code, f"point bigint, label {kinds['label']}, size int, code bigint, sketch binary"), "codes")
 
     def bits(name: str, place: int, width: int) -> str:
         return f"((shiftrightunsigned({name}, {place}) & {(1 << width) - 1}L))"
 
     stored = F.array(*[F.struct(F.lit(i).alias("t"), F.expr(bits("code", p, w)).alias("slot")) for i, (p, w) in enumerate(tables)])
     tried = [F.struct(F.lit(i).alias("t"), F.expr(f"{bits('code', p, w)} ^ {flip}L").alias("slot")) for i, (p, w) in enumerate(tables) for flip in [0] + [1 << b for b in range(w)]]
-    left = codes.select("label", "size", F.col("point").alias("a"), F.col("code").alias("x"), F.explode(stored).alias("s")).select("label", "size", "a", "x", "s.*")
-    right = codes.select("label", "size", F.col("point").alias("b"), F.col("code").alias("y"), F.explode(F.array(*tried)).alias("s")).select("label", "size", "b", "y", "s.*")
+    left = codes.select("label", "size", F.col("point").alias("a"), F.col("code").alias("x"), F.col("sketch").alias("sx"), F.explode(stored).alias("s")).select("label", "size", "a", "x", "sx", "s.*")
+    right = codes.select("label", "size", F.col("point").alias("b"), F.col("code").alias("y"), F.col("sketch").alias("sy"), F.explode(F.array(*tried)).alias("s")).select("label", "size", "b", "y", "sy", "s.*")
     first = "CASE " + " ".join(f"WHEN bit_count({bits('(x ^ y)', p, w)}) <= 1 THEN {i}" for i, (p, w) in enumerate(tables)) + " END"
-    met = left.join(right, ["label", "size", "t", "slot"]).where("a < b").where(F.expr(f"bit_count(x ^ y) <= {RADIUS}") & (F.expr(first) == F.col("t")))
-    met = stage(met.select("a", "b"), "vector-pairs")
+
+    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int16).reshape(batch.num_rows, -1) for c in (2, 3))
+                bound = np.einsum("ij,ij->i", u, v, dtype=np.float64) / STEPS**2
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(bound >= threshold - SLACK))
+
+    # Spark does not count the exploded rows of a small table, and would gather them all in the driver to broadcast them
+    met = left.hint("merge").join(right, ["label", "size", "t", "slot"]).where("a < b").where(F.expr(f"bit_count(x ^ y) <= {RADIUS}") & (F.expr(first) == F.col("t")))
+    met = stage(met.select("a", "b", "sx", "sy").mapInArrow(hopeful, "a bigint, b bigint"), "vector-pairs")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

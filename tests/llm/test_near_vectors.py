@@ -79,3 +79,28 @@ def test_empty_table(spark):
     assert near_vectors.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     one = spark.createDataFrame([(1, [1.0, 2.0], 3, 1, 1, "x")], SCHEMA)
     assert [tuple(r) for r in near_vectors.near_vectors(one).collect()] == [(1, 0, 1, True)]
+
+
+def test_sketches_never_understate_a_cosine():
+    rng = np.random.default_rng(4)
+    for size in (3, 16, 40):
+        x = rng.normal(size=(400, size)) * np.linspace(3, 0.1, size) + 0.3
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        basis = np.linalg.eigh(x.T @ x)[1][:, ::-1][:, : near_vectors.COORDINATES]
+        told = near_vectors._sketches(x, basis).astype(float) / near_vectors.STEPS
+        assert (told @ told.T >= x @ x.T - near_vectors.SLACK).all()
+
+
+def test_exploded_codes_are_not_gathered_in_the_driver(spark, monkeypatch):
+    plans, kept = [], near_vectors.stage
+
+    def stage(df, label):
+        if label == "vector-pairs":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(near_vectors, "stage", stage)
+    rng = np.random.default_rng(3)
+    points = spark.createDataFrame([(k, rng.normal(size=8).tolist(), 1) for k in range(50)], "point long, vector array<double>, label int")
+    near_vectors.linked_points(points).count()
+    assert len(plans) == 1 and "BroadcastExchange" not in plans[0]
