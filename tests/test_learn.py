@@ -207,3 +207,24 @@ def test_shapley_scores_every_set_of_features_once():
     # whatever the score of the empty and full set, attributions add up to their difference
     assert sum(of[(True,) * 6]) == pytest.approx(1.0) and sum(of[(False,) * 6]) == pytest.approx(-1.0)
     assert all(sum(share) == pytest.approx(0.0) for held, share in shares if any(held) and not all(held))
+
+
+def test_stump_weights_follow_from_votes():
+    import pyarrow as pa
+
+    from holdfast.operators import boosting
+
+    rng = np.random.default_rng(6)
+    bins, y, held = rng.integers(0, 4, (50, 2)), rng.integers(0, 2, 50), rng.normal(size=50)
+    votes = [(0, 1, 0, 1, 0.7), (1, 2, 1, 0, 0.3)]
+    rows = [pa.array(y.astype(np.int32)), pa.array([b.astype(np.int32).tobytes() for b in bins]), pa.array(held)]
+    batch = pa.RecordBatch.from_arrays(rows, ["y", "bins", "held"])
+    wrong = [[(l if b[j] <= at else r) != c for j, at, l, r, _ in votes] for b, c in zip(bins, y)]
+    want = held + np.array([[0.7, 0.3]]).repeat(50, 0).__mul__(wrong).sum(axis=1)
+    kept = next(boosting._held_after(votes)(iter([batch])))
+    assert np.allclose(kept["held"].to_numpy(), want) and kept["bins"].equals(batch["bins"])
+    told = pa.Table.from_batches(boosting._weighed(votes, 0.2, [4, 4])(iter([batch, batch.slice(0, 0)]))).to_pylist()
+    for cell in told:
+        of = (bins[:, cell["j"]] == cell["bin"]) & (y == cell["y"])
+        assert of.any() and np.isclose(cell["w"], np.exp(want[of] - 0.2).sum())
+    assert sum(np.isclose(cell["w"], 0) for cell in told) == 0 and {c["j"] for c in told} == {0, 1}
